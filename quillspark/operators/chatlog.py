@@ -36,7 +36,7 @@ def coerce_text(v: Column, default: str = "", join_char: str = " ") -> Column:
     items = F.try_variant_get(v, "$", "array<variant>")
     strings = F.transform(F.filter(items, lambda e: F.schema_of_variant(e) == "STRING"),
                           lambda e: py_strip(F.variant_get(e, "$", "string")))
-    return (F.when(v.isNull() | (kind == "NULL"), F.lit(default))
+    return (F.when(v.isNull() | kind.isin("NULL", "VOID"), F.lit(default))
              .when(kind == "STRING", py_strip(as_str))
              .when(kind.startswith("ARRAY"), py_strip(F.array_join(strings, join_char)))
              .when(kind == "BOOLEAN", F.when(F.variant_get(v, "$", "boolean"), F.lit("True")).otherwise(F.lit("False")))
