@@ -81,9 +81,9 @@ def split_exact(df: DataFrame, id_cols: list, test_size: float = 0.05, seed: int
                 out: str = "split") -> DataFrame:
     """D3 ``exact`` mode: the ``ceil(test_size * n)`` rows first in seeded order
     are test."""
-    n = df.count()
-    k = math.ceil(test_size * n)
     ranked = seeded_order(df, id_cols, seed, "_qs_rank")
+    n = ranked.count()          # reads the checkpointed layout, not the input again
+    k = math.ceil(test_size * n)
     return ranked.withColumn(out, F.when(F.col("_qs_rank") < k, F.lit("test")).otherwise(F.lit("train"))) \
                  .drop("_qs_rank")
 

@@ -115,42 +115,55 @@ def pack_ranges(words: Column, size: int) -> Column:
     return F.when(F.size(words) == 0, F.array().cast("array<struct<s:int,e:int>>")).otherwise(zipped)
 
 
-def _chunk_count(piece: Column, size: int) -> Column:
-    n_words = F.size(py_split(piece))
-    big = F.when(n_words == 0, F.lit(0)).otherwise(F.size(pack_break_starts(_word_lengths(py_split(piece)), size)))
-    return F.when(F.length(piece) <= size, F.when(py_strip(piece) != "", F.lit(1)).otherwise(F.lit(0))) \
-            .otherwise(big).cast("bigint")
-
-
 def split_documents(docs: DataFrame, text: str = "text", keys: list | None = None,
                     size: int = DEFAULT_SIZE, marker: str = DEFAULT_MARKER, stem: str = DEFAULT_STEM,
                     restore_first: bool = False) -> DataFrame:
     """T6 over a table: one row per chunk ``(*keys, chunk_idx, chunk)``.
 
-    Narrow end to end (no shuffle). Each step reads arrays that an earlier
-    projection or ``posexplode`` materialised, so no array is recomputed per
-    element of another: cost is linear in the text.
+    Narrow end to end (no shuffle). Every piece is split into words and
+    packed exactly once: a nested ``transform`` builds, per piece, its words
+    and group starts; that array is projected as a column and read (never
+    recomputed) by the header carry-forward, the chunk-offset prefix sum and
+    the explode. Cost is linear in the text.
     """
     keys = keys or [c for c in docs.columns if c != text]
     kc = [F.col(k) for k in keys]
-    stage1 = docs.select(*kc, split_at_marker(F.col(text), marker, stem, restore_first).alias("_pieces"))
-    pieces = F.col("_pieces")
+    has_word = lambda p: p.rlike(PY_NON_WS)  # noqa: E731  (== p.strip() != "")
+    pieces = split_at_marker(F.col(text), marker, stem, restore_first)
+    info = F.transform(pieces, lambda p: F.struct(
+        p.alias("piece"), (F.length(p) <= size).alias("small"), has_word(p).alias("nonblank"),
+        F.when(F.length(p) > size, py_split(p)).alias("words")))
+    packed = F.transform(info, lambda x: F.struct(
+        x["piece"].alias("piece"), x["small"].alias("small"), x["nonblank"].alias("nonblank"),
+        x["words"].alias("words"),
+        F.when(~x["small"] & (F.size(x["words"]) > 0),
+               pack_break_starts(_word_lengths(x["words"]), size)).alias("starts")))
+    stage1 = docs.select(*kc, packed.alias("_pp"))
+    pp = F.col("_pp")
+    counts = F.transform(pp, lambda x: F.when(x["small"], F.when(x["nonblank"], F.lit(1)).otherwise(F.lit(0)))
+                         .otherwise(F.coalesce(F.size(x["starts"]), F.lit(0))).cast("bigint"))
     per_piece = F.arrays_zip(
-        pieces.alias("piece"),
-        carry_forward(F.transform(pieces, lambda p: article_header(p, stem))).alias("carried"),
-        exclusive_prefix_sum(F.transform(pieces, lambda p: _chunk_count(p, size))).alias("offset"))
-    stage2 = (stage1.select(*kc, F.explode(per_piece).alias("z"))
-                    .select(*kc, F.col("z.piece").alias("_piece"), F.col("z.carried").alias("_carried"),
-                            F.col("z.offset").alias("_offset"))
-                    .withColumn("_small", F.length("_piece") <= size)
-                    .withColumn("_stripped", py_strip("_piece"))
-                    .withColumn("_words", F.when(~F.col("_small"), py_split("_piece"))))
-    words, stripped, carried = F.col("_words"), F.col("_stripped"), F.col("_carried")
-    subs = F.transform(pack_ranges(words, size), lambda r: F.array_join(F.slice(words, r["s"] + 1, r["e"] - r["s"]), " "))
-    labelled = F.transform(subs, lambda s: F.when((s != stripped) & (carried != ""),
-                                                  F.concat(carried, F.lit(CONTINUATION), s)).otherwise(s))
-    small = F.when(stripped != "", F.array(F.col("_piece"))).otherwise(F.array().cast("array<string>"))
-    out = stage2.select(*kc, "_offset", F.posexplode(F.when(F.col("_small"), small).otherwise(labelled))
+        pp.alias("p"),
+        carry_forward(F.transform(pp, lambda x: article_header(x["piece"], stem))).alias("carried"),
+        exclusive_prefix_sum(counts).alias("offset"))
+    stage2 = stage1.select(*kc, F.explode(per_piece).alias("z")).select(
+        *kc, F.col("z.p.piece").alias("_piece"), F.col("z.p.small").alias("_small"),
+        F.col("z.p.nonblank").alias("_nonblank"), F.col("z.p.words").alias("_words"),
+        F.col("z.p.starts").alias("_starts"), F.col("z.carried").alias("_carried"),
+        F.col("z.offset").alias("_offset"))
+    words, starts, carried, piece = F.col("_words"), F.col("_starts"), F.col("_carried"), F.col("_piece")
+    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), F.array(F.size(words)))
+    ranges = F.arrays_zip(starts.alias("s"), ends.alias("e"))
+    subs = F.transform(ranges, lambda r: F.array_join(F.slice(words, r["s"] + 1, r["e"] - r["s"]), " "))
+    # A sub-piece can equal the stripped piece only when the piece packs into
+    # one group, so the (whole-piece) strip is computed only then.
+    single = F.size(starts) == 1
+    labelled = F.transform(subs, lambda sp: F.when(
+        (carried != "") & ~(single & (sp == py_strip(piece))), F.concat(carried, F.lit(CONTINUATION), sp))
+        .otherwise(sp))
+    small = F.when(F.col("_nonblank"), F.array(piece)).otherwise(F.array().cast("array<string>"))
+    big = F.when(starts.isNull(), F.array().cast("array<string>")).otherwise(labelled)
+    out = stage2.select(*kc, "_offset", F.posexplode(F.when(F.col("_small"), small).otherwise(big))
                         .alias("_k", "chunk"))
     return out.select(*kc, (F.col("_offset") + F.col("_k")).cast("bigint").alias("chunk_idx"), "chunk")
 

@@ -12,6 +12,7 @@ from ..operators import assemble as A
 from ..operators import qa as QA
 from . import plan_chunking as PC
 from . import plan_qa as PQ
+from ..session import checkpoint_dir
 from .registry import query, table
 
 V, MAXLEN, BATCH = 5000, 64, 16
@@ -32,6 +33,7 @@ def chunk_text(spark, sf):
 
 
 def dataset(spark, sf):
+    checkpoint_dir(spark)
     return A.union_datasets(qa_text(spark, sf), chunk_text(spark, sf))
 
 
@@ -82,7 +84,8 @@ enc AS (SELECT ds.id, CAST(coalesce(len(g.ids), 0) AS BIGINT) AS length,
 
 
 def encoded(spark, sf):
-    ds = dataset(spark, sf)
+    # Read twice (vocabulary, then encoding): cut the lineage once.
+    ds = dataset(spark, sf).checkpoint(eager=True)
     vocab = A.build_vocab(ds, "text", V)
     return A.encode(ds, "text", ["id"], vocab, MAXLEN, mask_padding=True)
 
