@@ -13,6 +13,7 @@ the data instead of with the largest group.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +39,13 @@ def frozen_range_layout(df: DataFrame, order: list, num_partitions: int | None =
               .sortWithinPartitions(*order)
               .withColumn(PID, F.spark_partition_id())
               .withColumn(LOCAL, F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))))
-    return laid.checkpoint(eager=True)
+    # Persist so the checkpoint write reads the computed partitions instead of
+    # recomputing the input; both jobs share one RDD, hence one set of range
+    # bounds. The checkpoint (shared folder) is what later stages read.
+    laid = laid.persist(StorageLevel.MEMORY_AND_DISK)
+    frozen = laid.checkpoint(eager=True)
+    laid.unpersist()
+    return frozen
 
 
 def partition_offsets(laid: DataFrame, weight: Column | None = None) -> list[int]:

@@ -103,7 +103,8 @@ def sender_runs(msgs: DataFrame, partition_key: list[str] | None = None,
         F.count(F.lit(1)).cast("bigint").alias("n_msgs"),
         F.min("pos").alias("first_pos"),
         F.array_sort(F.collect_list(F.struct(F.col(PID), F.col(LOCAL), F.col("text")))).alias("_parts"))
-    first_of_day = runs.groupBy(*pk, "day").agg(F.min("run_no").alias("_day_first"))
+    # One row per day, from the (much smaller) merged runs.
+    first_of_day = merged.groupBy(*pk, "day").agg(F.min("run_no").alias("_day_first"))
     return (merged.join(first_of_day, [*pk, "day"])
                   .select(*pk, "day", "run_no", (F.col("run_no") - F.col("_day_first")).alias("run_idx"),
                           "sender", "n_msgs",
