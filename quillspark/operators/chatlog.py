@@ -55,7 +55,27 @@ def parse_iso_date(s: Column, normalize_utc: bool = False) -> Column:
     return F.coalesce(naive, aware)
 
 
-def read_chat_export(spark: SparkSession, path: str, normalize_utc: bool = False) -> DataFrame:
+def parse_messages(df: DataFrame, message: str = "m", keep: list | None = None) -> DataFrame:
+    """S2 + F7 per message: a VARIANT message object -> ``(type, date_text,
+    date, sender, text, has_plain)`` (plus ``keep`` columns)."""
+    keep = keep or []
+    m = F.col(message)
+    ents = F.try_variant_get(m, "$.text_entities", "array<variant>")
+    has_plain = F.coalesce(F.exists(ents, lambda e: F.try_variant_get(e, "$.type", "string") == "plain"), F.lit(False))
+    sender_raw = F.variant_get(m, "$.from", "variant")
+    sender = F.when(sender_raw.isNull(), F.lit(UNKNOWN_USER)).otherwise(coerce_text(sender_raw, UNKNOWN_USER))
+    date_text = F.try_variant_get(m, "$.date", "string")
+    return df.select(
+        *keep,
+        F.try_variant_get(m, "$.type", "string").alias("type"),
+        date_text.alias("date_text"),
+        parse_iso_date(date_text).alias("date"),
+        F.when(sender == "", F.lit(UNKNOWN_USER)).otherwise(sender).alias("sender"),
+        F.coalesce(coerce_text(F.variant_get(m, "$.text", "variant")), F.lit("")).alias("text"),
+        has_plain.alias("has_plain"))
+
+
+def read_chat_export(spark: SparkSession, path: str) -> DataFrame:
     """S2 + F7: chat-export JSON files -> one row per message.
 
     Each file is one JSON object with a ``messages`` list; a file without it
@@ -66,19 +86,8 @@ def read_chat_export(spark: SparkSession, path: str, normalize_utc: bool = False
         F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("doc"))
     msgs = F.try_variant_get("doc", "$.messages", "array<variant>")
     rows = raw.select("file", F.posexplode(F.coalesce(msgs, F.array().cast("array<variant>"))).alias("pos", "m"))
-    m = F.col("m")
-    ents = F.try_variant_get(m, "$.text_entities", "array<variant>")
-    has_plain = F.coalesce(F.exists(ents, lambda e: F.try_variant_get(e, "$.type", "string") == "plain"), F.lit(False))
-    sender_raw = F.variant_get(m, "$.from", "variant")
-    sender = F.when(sender_raw.isNull(), F.lit(UNKNOWN_USER)).otherwise(coerce_text(sender_raw, UNKNOWN_USER))
-    return rows.select(
-        "file", F.col("pos").cast("bigint").alias("pos"),
-        F.try_variant_get(m, "$.type", "string").alias("type"),
-        F.try_variant_get(m, "$.date", "string").alias("date_text"),
-        parse_iso_date(F.try_variant_get(m, "$.date", "string"), normalize_utc).alias("date"),
-        F.when(sender == "", F.lit(UNKNOWN_USER)).otherwise(sender).alias("sender"),
-        F.coalesce(coerce_text(F.variant_get(m, "$.text", "variant")), F.lit("")).alias("text"),
-        has_plain.alias("has_plain"))
+    rows = rows.withColumn("pos", F.col("pos").cast("bigint"))
+    return parse_messages(rows, "m", keep=["file", "pos"])
 
 
 def filter_messages(msgs: DataFrame) -> DataFrame:

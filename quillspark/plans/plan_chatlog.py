@@ -93,3 +93,28 @@ def c1_order(spark, sf):
     ix = with_global_index(m.select("pos", "date"), ["date", "pos"], name="rank")
     return drop_internal(ix).select(F.col("rank").cast("bigint"), "pos",
                                     F.date_format(F.to_date("date"), "yyyy-MM-dd").alias("day"))
+
+
+def _event_messages(spark, sf):
+    """Each event as a chat-export message object (JSON text -> VARIANT): a
+    numeric sender, a text list mixing padded strings and an entity object,
+    a ``link``-only entity list for ``error`` events, ISO date text."""
+    ev = table(spark, sf, "events")
+    ents = F.when(F.col("event_type") == "error", F.array(F.struct(F.lit("link").alias("type")))) \
+            .otherwise(F.array(F.struct(F.lit("plain").alias("type")), F.struct(F.lit("link").alias("type"))))
+    head = F.to_json(F.struct(F.lit("message").alias("type"),
+                              F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("date"),
+                              F.col("user_id").alias("from"), ents.alias("text_entities")))
+    props = F.to_json(F.array("props"))                      # ["<escaped props>"]
+    text = F.concat(F.lit('[" '), F.col("event_type"), F.lit(' ", {"type": "link"}, '),
+                    F.substring(props, 2, F.length(props) - 2), F.lit("]"))
+    js = F.concat(F.substring(head, 1, F.length(head) - 1), F.lit(', "text": '), text, F.lit("}"))
+    return ev.select(F.col("event_id").cast("bigint").alias("pos"), F.parse_json(js).alias("m"))
+
+
+@query("s2_f4_f7_parse_export_messages", """SELECT CAST(event_id AS BIGINT) AS pos, CAST(user_id AS VARCHAR) AS sender,
+  event_type || ' ' || trim(props) AS text, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS date_text
+  FROM events WHERE event_type <> 'error'""")
+def s2_parse(spark, sf):
+    msgs = CL.filter_messages(CL.parse_messages(_event_messages(spark, sf), "m", keep=["pos"]))
+    return msgs.select("pos", "sender", "text", "date_text")
