@@ -165,10 +165,9 @@ def test_near_duplicates_vs_brute_force(spark):
             t2 = (t0 + " " + " ".join(sorted(tb - ta))).strip()
             if max(M.py_ratio(t0, t1), M.py_ratio(t0, t2)) >= 90:   # the containment route is exact
                 exp[(i, j)] = ref_score(a, b)
+    assert set(got) == set(exp)                  # exact for M2's overlap criterion
     for k, v in exp.items():
-        assert got.get(k) == v, k
-    for k, v in got.items():
-        assert v == ref_score(docs[k[0]], docs[k[1]]) and v >= 90
+        assert got[k] == v, k
 
 
 def test_generation_lineage_resume_and_errors(spark):
