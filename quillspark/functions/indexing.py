@@ -30,21 +30,34 @@ def _width(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Checkpoint to the shared folder, computing ``df`` once: persisted for
+    the counting job so the checkpoint write reads those blocks instead of
+    recomputing the lineage; later stages read the checkpoint files."""
+    checkpoint_dir(df.sparkSession)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    frozen = kept.checkpoint(eager=True)
+    kept.unpersist()
+    return frozen
+
+
 def frozen_range_layout(df: DataFrame, order: list, num_partitions: int | None = None) -> DataFrame:
     """Rows range-partitioned and sorted on ``order``, tagged with partition id
-    and position inside the partition, checkpointed to the shared folder."""
+    and position inside the partition, checkpointed to the shared folder.
+
+    The input is persisted while the layout is built: range partitioning
+    samples it in a job of its own before shuffling it, and a derived input
+    (e.g. split documents) would otherwise be computed twice. Both
+    checkpoint jobs share one RDD, hence one set of range bounds."""
     checkpoint_dir(df.sparkSession)
     n = _width(df, num_partitions)
-    laid = (df.repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .withColumn(PID, F.spark_partition_id())
-              .withColumn(LOCAL, F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))))
-    # Persist so the checkpoint write reads the computed partitions instead of
-    # recomputing the input; both jobs share one RDD, hence one set of range
-    # bounds. The checkpoint (shared folder) is what later stages read.
-    laid = laid.persist(StorageLevel.MEMORY_AND_DISK)
-    frozen = laid.checkpoint(eager=True)
-    laid.unpersist()
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    laid = (src.repartitionByRange(n, *order)
+               .sortWithinPartitions(*order)
+               .withColumn(PID, F.spark_partition_id())
+               .withColumn(LOCAL, F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))))
+    frozen = reliable_checkpoint(laid)
+    src.unpersist()
     return frozen
 
 

@@ -12,6 +12,7 @@ from ..operators import assemble as A
 from ..operators import qa as QA
 from . import plan_chunking as PC
 from . import plan_qa as PQ
+from ..functions.indexing import reliable_checkpoint
 from ..session import checkpoint_dir
 from .registry import query, table
 
@@ -85,7 +86,7 @@ enc AS (SELECT ds.id, CAST(coalesce(len(g.ids), 0) AS BIGINT) AS length,
 
 def encoded(spark, sf):
     # Read twice (vocabulary, then encoding): cut the lineage once.
-    ds = dataset(spark, sf).checkpoint(eager=True)
+    ds = reliable_checkpoint(dataset(spark, sf))
     vocab = A.build_vocab(ds, "text", V)
     return A.encode(ds, "text", ["id"], vocab, MAXLEN, mask_padding=True)
 

@@ -139,6 +139,8 @@ def test_lcs_and_token_set_ratio(spark):
         a = "".join(rnd.choice("abcd ") for _ in range(rnd.randint(0, 30)))
         b = "".join(rnd.choice("abce ") for _ in range(rnd.randint(0, 30)))
         assert M.lcs_len(a, b) == _dp_lcs(a, b)
+        p = "".join(rnd.choice("abc ") for _ in range(rnd.randint(0, 10)))
+        assert _dp_lcs(p + a, p + b) == len(p) + _dp_lcs(a, b)     # common-prefix lemma
     pairs = [("the cat sat", "sat the cat"), ("a b c", "a b"), ("colour", "color"), ("", "x"), ("!!", "..."),
              ("Привет мир", "мир привет"), ("café au lait", "cafe au lait"), ("one two three four", "one two five six")]
     df = spark.createDataFrame(pairs, "a string, b string")
