@@ -114,13 +114,13 @@ def encode(df: DataFrame, text: str, keys: list, vocab: DataFrame, max_len: int,
     """Tokens -> ids, truncate to ``max_len``, pad with the end-of-sequence
     id, ``labels`` = copy (padding as ``-100`` when ``mask_padding``).
 
-    Tokens are exploded with their position (beyond ``max_len`` dropped: that
-    is the truncation), joined to the broadcast vocabulary and re-collected
-    per example: each group holds at most ``max_len`` ids."""
+    The token array is truncated with ``slice`` (the whole text is
+    tokenized), exploded with positions, joined to the broadcast vocabulary
+    and re-collected per example: each group holds at most ``max_len`` ids."""
     pad = SPECIALS.index(EOS)
     unk = SPECIALS.index(UNK)
-    toks = df.select(*keys, F.posexplode_outer(tokenize(text)).alias("pos", "token"))
-    toks = toks.filter(F.col("pos").isNull() | (F.col("pos") < max_len))
+    # Truncation is a slice of the (whole) token array, before exploding.
+    toks = df.select(*keys, F.posexplode_outer(F.slice(tokenize(text), 1, max_len)).alias("pos", "token"))
     j = toks.join(F.broadcast(vocab), "token", "left")
     item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("token_id", F.lit(unk)).alias("id")))
     grouped = j.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_t"))
