@@ -285,3 +285,18 @@ def test_entry_and_queries_smoke(spark):
     assert set(sqls) <= set(qs)
     for name in ("t6_split_law", "c3_runs_by_user", "d5_encode", "m1_turn_similarity"):
         assert qs[name](spark, SF).count() >= 0
+
+
+def test_rate_limit_spreads_calls(spark):
+    import time as _t
+    chunks = G.chunks_table(spark.createDataFrame([("a.txt", i, f"t{i}") for i in range(6)],
+                                                  "file_name string, chunk_idx bigint, chunk string")).coalesce(1)
+
+    def responder(texts):
+        return pd.DataFrame({"answer": list(texts), "input_tokens": [1] * len(texts), "output_tokens": [1] * len(texts)})
+    t0 = _t.time()
+    out = G.generate_answers(chunks, "v", responder, calls_per_period=3, period_s=1.0)
+    out.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    assert out.count() == 6
+    assert _t.time() - t0 >= 1.0        # 6 calls at 3 per second need a wait
+    out.sparkSession.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -200,3 +200,45 @@ def test_runs_stitch_across_partitions(spark):
         for who, g in itertools.groupby(grp, key=lambda r: r[2]):
             exp.append((str(day), who, " ".join(str(r[0]) for r in g)))
     assert [(str(r["day"]), r["sender"], r["text"]) for r in runs] == exp
+
+
+TOOLS = [{"type": "function", "function": {"name": "get", "parameters": {"city": "string"}}}]
+TC_T = T.ArrayType(T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType()),
+                                 T.StructField("tool_calls", T.ArrayType(T.StructType([
+                                     T.StructField("name", T.StringType()),
+                                     T.StructField("arguments", T.StringType())])))]))
+
+
+def _render_tc(spark, msgs, name, **kw):
+    df = spark.createDataFrame([(msgs,)], T.StructType([T.StructField("m", TC_T)]))
+    return df.select(TP.render("m", name, messages_type=TC_T, **kw).alias("t")).first()["t"]
+
+
+def test_qwen_tools_block_and_calls(spark):
+    msgs = [("user", "weather?", None), ("assistant", "", [("get", '{"city": "Oslo"}'), ("get", '{"city": "Rome"}')]),
+            ("tool", "sunny", None)]
+    out = _render_tc(spark, msgs, "qwen-2.5", tools=TOOLS)
+    assert out.startswith("<|im_start|>system\n" + TP.SYS_QWEN25 + "\n\n# Tools\n\nYou may call one or more functions")
+    assert '\n{"type": "function", "function": {"name": "get", "parameters": {"city": "string"}}}\n</tools>' in out
+    assert ('<|im_start|>assistant\n<tool_call>\n{"name": "get", "arguments": {"city": "Oslo"}}\n</tool_call>'
+            '\n<tool_call>\n{"name": "get", "arguments": {"city": "Rome"}}\n</tool_call><|im_end|>\n') in out
+    assert out.endswith("<|im_start|>user\n<tool_response>\nsunny\n</tool_response><|im_end|>\n")
+
+
+def test_llama31_tools_in_first_user_message(spark):
+    msgs = [("system", "sys", None), ("user", "weather?", None), ("assistant", "ok", None)]
+    out = _render_tc(spark, msgs, "llama-3.1", bos_token="", tools=TOOLS)
+    assert "Environment: ipython\nCutting Knowledge Date" in out
+    assert ("<|start_header_id|>user<|end_header_id|>\n\nGiven the following functions, please respond with a JSON "
+            "for a function call with its proper arguments") in out
+    import json as _json
+    assert _json.dumps(TOOLS[0], indent=4) + "\n\nweather?<|eot_id|>" in out
+    with pytest.raises(Exception, match="single tool-calls"):
+        _render_tc(spark, [("user", "a", None), ("assistant", None, [("x", "{}"), ("y", "{}")])], "llama-3.1")
+    with pytest.raises(Exception, match="no first user message"):
+        _render_tc(spark, [("system", "s", None)], "llama-3.1", tools=TOOLS)
+
+
+def test_all_template_names_render(spark):
+    for name in TP.TEMPLATE_NAMES:
+        assert render(spark, SAMPLE, name)
