@@ -55,9 +55,12 @@ def parse_iso_date(s: Column, normalize_utc: bool = False) -> Column:
     return F.coalesce(naive, aware)
 
 
-def parse_messages(df: DataFrame, message: str = "m", keep: list | None = None) -> DataFrame:
+def parse_messages(df: DataFrame, message: str = "m", keep: list | None = None,
+                   normalize_utc: bool = False) -> DataFrame:
     """S2 + F7 per message: a VARIANT message object -> ``(type, date_text,
-    date, sender, text, has_plain)`` (plus ``keep`` columns)."""
+    date, sender, text, has_plain)`` (plus ``keep`` columns). Dates with a
+    UTC offset are rejected (the reference could not sort them against naive
+    ones) unless ``normalize_utc``, which converts them to UTC."""
     keep = keep or []
     m = F.col(message)
     ents = F.try_variant_get(m, "$.text_entities", "array<variant>")
@@ -69,13 +72,13 @@ def parse_messages(df: DataFrame, message: str = "m", keep: list | None = None)
         *keep,
         F.try_variant_get(m, "$.type", "string").alias("type"),
         date_text.alias("date_text"),
-        parse_iso_date(date_text).alias("date"),
+        parse_iso_date(date_text, normalize_utc).alias("date"),
         F.when(sender == "", F.lit(UNKNOWN_USER)).otherwise(sender).alias("sender"),
         F.coalesce(coerce_text(F.variant_get(m, "$.text", "variant")), F.lit("")).alias("text"),
         has_plain.alias("has_plain"))
 
 
-def read_chat_export(spark: SparkSession, path: str) -> DataFrame:
+def read_chat_export(spark: SparkSession, path: str, normalize_utc: bool = False) -> DataFrame:
     """S2 + F7: chat-export JSON files -> one row per message.
 
     Each file is one JSON object with a ``messages`` list; a file without it
@@ -87,7 +90,7 @@ def read_chat_export(spark: SparkSession, path: str) -> DataFrame:
     msgs = F.try_variant_get("doc", "$.messages", "array<variant>")
     rows = raw.select("file", F.posexplode(F.coalesce(msgs, F.array().cast("array<variant>"))).alias("pos", "m"))
     rows = rows.withColumn("pos", F.col("pos").cast("bigint"))
-    return parse_messages(rows, "m", keep=["file", "pos"])
+    return parse_messages(rows, "m", keep=["file", "pos"], normalize_utc=normalize_utc)
 
 
 def filter_messages(msgs: DataFrame) -> DataFrame:

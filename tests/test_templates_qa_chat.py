@@ -242,3 +242,12 @@ def test_llama31_tools_in_first_user_message(spark):
 def test_all_template_names_render(spark):
     for name in TP.TEMPLATE_NAMES:
         assert render(spark, SAMPLE, name)
+
+
+def test_iso_dates_and_offsets(spark):
+    df = spark.createDataFrame([("2024-03-01T10:00:00",), ("2024-03-01 10:00",), ("2024-03-01",), ("2024",),
+                                ("2024-03-01T10:00:00+02:00",), ("bad",), (None,)], "d string")
+    naive = [r["x"] for r in df.select(CL.parse_iso_date(F.col("d")).alias("x")).collect()]
+    assert [x is not None for x in naive] == [True, True, True, False, False, False, False]
+    utc = [r["x"] for r in df.select(CL.parse_iso_date(F.col("d"), normalize_utc=True).alias("x")).collect()]
+    assert str(utc[4]) == "2024-03-01 08:00:00"
