@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.pytext import PY_NON_WS, PY_WS, literal_split, py_split, py_strip
+from ..functions.pytext import PY_NON_WS, PY_WS, literal_split, py_isdigit, py_split, py_strip
 
 # The reference splitter's marker, stem, size and label.
 DEFAULT_MARKER = "\nСтат"
@@ -61,7 +61,7 @@ def article_header(piece: Column, stem: str = DEFAULT_STEM) -> Column:
     cands = []
     for i in range(3):
         nxt = w[i + 1]
-        ok = w[i].startswith(F.lit(stem)) & nxt.rlike(r"^\p{Nd}+$") & (F.length(nxt) <= 3)
+        ok = w[i].startswith(F.lit(stem)) & py_isdigit(nxt) & (F.length(nxt) <= 3)
         cands.append(F.when(ok, F.concat(w[i], F.lit(" "), nxt)))
     return F.coalesce(*cands, F.lit(""))
 
@@ -104,17 +104,6 @@ def _word_lengths(words: Column) -> Column:
     return F.transform(words, lambda w: F.length(w))
 
 
-def pack_ranges(words: Column, size: int) -> Column:
-    """T4: ``array<struct<s,e>>`` word ranges of the packed groups.
-
-    ``words`` must be an attribute (a projected column), never an inline
-    expression: it is read, not recomputed, per group."""
-    starts = pack_break_starts(_word_lengths(words), size)
-    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), F.array(F.size(words)))
-    zipped = F.arrays_zip(starts.alias("s"), ends.alias("e"))
-    return F.when(F.size(words) == 0, F.array().cast("array<struct<s:int,e:int>>")).otherwise(zipped)
-
-
 def split_documents(docs: DataFrame, text: str = "text", keys: list | None = None,
                     size: int = DEFAULT_SIZE, marker: str = DEFAULT_MARKER, stem: str = DEFAULT_STEM,
                     restore_first: bool = False) -> DataFrame:

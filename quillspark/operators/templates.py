@@ -14,6 +14,7 @@ fire only for rows that take them.
 from __future__ import annotations
 
 import json
+import warnings
 from dataclasses import dataclass
 from typing import Callable
 
@@ -371,6 +372,9 @@ def resolve_system_message(name: str, system_message: str | None) -> str | None:
     only warns); otherwise the override wins over the default."""
     tpl = _BODIES[TEMPLATE_NAMES[name]]
     if tpl.default_system is None:
+        if system_message is not None:
+            warnings.warn(f"template {name!r} has no default system message; the override is ignored "
+                          "(put the system message into the data instead)", stacklevel=3)
         return None
     return system_message if system_message is not None else tpl.default_system
 
