@@ -300,3 +300,30 @@ def test_rate_limit_spreads_calls(spark):
     assert out.count() == 6
     assert _t.time() - t0 >= 1.0        # 6 calls at 3 per second need a wait
     out.sparkSession.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_hot_day_is_spread_over_partitions(spark):
+    from quillspark.functions.indexing import PID, frozen_range_layout
+    from quillspark.operators import chatlog as CL
+    n = 20000
+    df = spark.range(n).select(F.col("id").alias("pos"),
+                               (F.lit(1_704_067_200) + F.col("id")).cast("timestamp").cast("timestamp_ntz").alias("date"),
+                               (F.col("id") % 3).cast("string").alias("sender"), F.col("id").cast("string").alias("text"))
+    df = df.withColumn("day", F.lit("2024-01-01").cast("date"))          # every message on one day
+    laid = frozen_range_layout(df, ["day", "date", "pos"], 8)
+    sizes = [r["count"] for r in laid.groupBy(PID).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 0.3 * n                    # not one task
+    runs = CL.sender_runs(df.drop("day"), num_partitions=8)
+    assert runs.count() == n                                          # senders alternate: every message is a run
+    assert runs.agg(F.max("run_idx")).first()[0] == n - 1
+
+
+def test_hot_document_first_pending(spark):
+    rows = [("big.txt", i, f"t{i}") for i in range(3000)] + [("small.txt", i, "s") for i in range(3)]
+    ch = G.chunks_table(spark.createDataFrame(rows, "file_name string, chunk_idx bigint, chunk string"))
+    empty = spark.createDataFrame([], "chunk_id string, variant_id string, answer string, input_tokens bigint, "
+                                      "output_tokens bigint")
+    got = G.first_pending(ch, empty, 2500, "v")
+    per = {r["file_name"]: r["count"] for r in got.groupBy("file_name").count().collect()}
+    assert per == {"big.txt": 2500, "small.txt": 3}
+    assert got.filter("file_name = 'big.txt'").agg(F.max("chunk_idx")).first()[0] == 2499
