@@ -45,13 +45,18 @@ def coerce_text(v: Column, default: str = "", join_char: str = " ") -> Column:
 
 def parse_iso_date(s: Column, normalize_utc: bool = False) -> Column:
     """``datetime.fromisoformat``-compatible parse to TIMESTAMP_NTZ; NULL when
-    the text would raise. Offsets are rejected unless ``normalize_utc``."""
+    the text would raise. Naive values are cast straight to TIMESTAMP_NTZ (no
+    session time zone involved). Offsets are rejected unless
+    ``normalize_utc``, which gives their UTC wall time."""
     s = s.cast("string")
     norm = F.regexp_replace(F.regexp_replace(s, " ", "T"), ",", ".")
-    naive = F.when(s.rlike(ISO_NAIVE), F.try_to_timestamp(norm).cast("timestamp_ntz"))
+    naive = F.when(s.rlike(ISO_NAIVE), norm.try_cast("timestamp_ntz"))
     if not normalize_utc:
         return naive
-    aware = F.when(s.rlike(ISO_OFFSET), F.to_utc_timestamp(F.try_to_timestamp(norm), "UTC").cast("timestamp_ntz"))
+    from pyspark.sql import SparkSession
+    tz = SparkSession.active().conf.get("spark.sql.session.timeZone")
+    instant = norm.try_cast("timestamp")
+    aware = F.when(s.rlike(ISO_OFFSET), F.convert_timezone(F.lit(tz), F.lit("UTC"), instant.cast("timestamp_ntz")))
     return F.coalesce(naive, aware)
 
 

@@ -251,3 +251,15 @@ def test_iso_dates_and_offsets(spark):
     assert [x is not None for x in naive] == [True, True, True, False, False, False, False]
     utc = [r["x"] for r in df.select(CL.parse_iso_date(F.col("d"), normalize_utc=True).alias("x")).collect()]
     assert str(utc[4]) == "2024-03-01 08:00:00"
+
+
+def test_iso_dates_independent_of_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([("2024-03-10T02:30:00",), ("2024-03-01T10:00:00+02:00",)], "d string")
+        r = df.select(CL.parse_iso_date(F.col("d"), normalize_utc=True).alias("x")).collect()
+        assert str(r[0]["x"]) == "2024-03-10 02:30:00"       # inside a DST gap of the session zone
+        assert str(r[1]["x"]) == "2024-03-01 08:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
