@@ -327,3 +327,33 @@ def test_hot_document_first_pending(spark):
     per = {r["file_name"]: r["count"] for r in got.groupBy("file_name").count().collect()}
     assert per == {"big.txt": 2500, "small.txt": 3}
     assert got.filter("file_name = 'big.txt'").agg(F.max("chunk_idx")).first()[0] == 2499
+
+
+def test_store_ingest_and_process_chunks(spark, tmp):
+    from quillspark.sources import store as ST
+    src, store = os.path.join(tmp, "src"), os.path.join(tmp, "store")
+    os.makedirs(src)
+    texts = {"a.txt": "Статья 1\n" + "слово " * 700, "b.txt": "Статья 2\nкоротко\nСтатья 3\nещё", "c.txt": "boom"}
+    for n, t in texts.items():
+        with open(os.path.join(src, n), "w", encoding="utf-8") as f:
+            f.write(t)
+    ST.ingest_directory(spark, src, store)
+    ST.ingest_directory(spark, src, store)            # second run: nothing new
+    docs = spark.read.parquet(os.path.join(store, "documents"))
+    assert docs.count() == 3
+
+    def responder(ts):
+        if any(t == "boom" for t in ts):
+            raise RuntimeError("failed")
+        return pd.DataFrame({"answer": ["A " + t[:5] for t in ts], "input_tokens": [1] * len(ts),
+                             "output_tokens": [1] * len(ts)})
+    run1 = ST.process_chunks(spark, store, "local", "m", "p", responder, chunk_process_limit=1, calls_per_period=None)
+    assert run1.count() == 3 and run1.filter("error IS NOT NULL").count() == 1
+    run2 = ST.process_chunks(spark, store, "local", "m", "p", responder, chunk_process_limit=0, calls_per_period=None)
+    answers = spark.read.parquet(os.path.join(store, "answers"))
+    n_chunks = spark.read.parquet(os.path.join(store, "chunks")).count()
+    assert answers.count() == n_chunks - 1                   # only the failing chunk is still pending
+    assert answers.select("chunk_id").distinct().count() == answers.count()
+    variants = spark.read.parquet(os.path.join(store, "variants"))
+    assert variants.count() == 3                              # one variant per document, not duplicated
+    assert run2.count() == n_chunks - 2
