@@ -104,19 +104,11 @@ def _word_lengths(words: Column) -> Column:
     return F.transform(words, lambda w: F.length(w))
 
 
-def split_documents(docs: DataFrame, text: str = "text", keys: list | None = None,
-                    size: int = DEFAULT_SIZE, marker: str = DEFAULT_MARKER, stem: str = DEFAULT_STEM,
-                    restore_first: bool = False) -> DataFrame:
-    """T6 over a table: one row per chunk ``(*keys, chunk_idx, chunk)``.
-
-    Narrow end to end (no shuffle). Every piece is split into words and
-    packed exactly once: a nested ``transform`` builds, per piece, its words
-    and group starts; that array is projected as a column and read (never
-    recomputed) by the header carry-forward, the chunk-offset prefix sum and
-    the explode. Cost is linear in the text.
-    """
-    keys = keys or [c for c in docs.columns if c != text]
-    kc = [F.col(k) for k in keys]
+def _piece_table(docs: DataFrame, text: str, kc: list, size: int, marker: str, stem: str,
+                 restore_first: bool) -> DataFrame:
+    """Per document one column ``_pp``: for every piece its text, size class,
+    non-blank flag, words (large pieces only) and packed group starts, each
+    computed once (the array is projected, later steps only read it)."""
     has_word = lambda p: p.rlike(PY_NON_WS)  # noqa: E731  (== p.strip() != "")
     pieces = split_at_marker(F.col(text), marker, stem, restore_first)
     info = F.transform(pieces, lambda p: F.struct(
@@ -127,7 +119,38 @@ def split_documents(docs: DataFrame, text: str = "text", keys: list | None = Non
         x["words"].alias("words"),
         F.when(~x["small"] & (F.size(x["words"]) > 0),
                pack_break_starts(_word_lengths(x["words"]), size)).alias("starts")))
-    stage1 = docs.select(*kc, packed.alias("_pp"))
+    return docs.select(*kc, packed.alias("_pp"))
+
+
+def _chunks_of_piece(piece, small, nonblank, words, starts, carried) -> Column:
+    """The chunks of one piece (T4 + T5) from already computed parts."""
+    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), F.array(F.size(words)))
+    ranges = F.arrays_zip(starts.alias("s"), ends.alias("e"))
+    subs = F.transform(ranges, lambda r: F.array_join(F.slice(words, r["s"] + 1, r["e"] - r["s"]), " "))
+    # A sub-piece can equal the stripped piece only when the piece packs into
+    # one group, so the (whole-piece) strip is computed only then.
+    single = F.size(starts) == 1
+    labelled = F.transform(subs, lambda sp: F.when(
+        (carried != "") & ~(single & (sp == py_strip(piece))), F.concat(carried, F.lit(CONTINUATION), sp))
+        .otherwise(sp))
+    empty = F.array().cast("array<string>")
+    return F.when(small, F.when(nonblank, F.array(piece)).otherwise(empty)) \
+            .otherwise(F.when(starts.isNull(), empty).otherwise(labelled))
+
+
+def split_documents(docs: DataFrame, text: str = "text", keys: list | None = None,
+                    size: int = DEFAULT_SIZE, marker: str = DEFAULT_MARKER, stem: str = DEFAULT_STEM,
+                    restore_first: bool = False) -> DataFrame:
+    """T6 over a table: one row per chunk ``(*keys, chunk_idx, chunk)``.
+
+    Narrow end to end (no shuffle). Every piece is split into words and
+    packed exactly once (``_piece_table``); the header carry-forward, the
+    chunk-offset prefix sum and the explode only read that array. Cost is
+    linear in the text.
+    """
+    keys = keys or [c for c in docs.columns if c != text]
+    kc = [F.col(k) for k in keys]
+    stage1 = _piece_table(docs, text, kc, size, marker, stem, restore_first)
     pp = F.col("_pp")
     counts = F.transform(pp, lambda x: F.when(x["small"], F.when(x["nonblank"], F.lit(1)).otherwise(F.lit(0)))
                          .otherwise(F.coalesce(F.size(x["starts"]), F.lit(0))).cast("bigint"))
@@ -140,23 +163,29 @@ def split_documents(docs: DataFrame, text: str = "text", keys: list | None = Non
         F.col("z.p.nonblank").alias("_nonblank"), F.col("z.p.words").alias("_words"),
         F.col("z.p.starts").alias("_starts"), F.col("z.carried").alias("_carried"),
         F.col("z.offset").alias("_offset"))
-    words, starts, carried, piece = F.col("_words"), F.col("_starts"), F.col("_carried"), F.col("_piece")
-    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), F.array(F.size(words)))
-    ranges = F.arrays_zip(starts.alias("s"), ends.alias("e"))
-    subs = F.transform(ranges, lambda r: F.array_join(F.slice(words, r["s"] + 1, r["e"] - r["s"]), " "))
-    # A sub-piece can equal the stripped piece only when the piece packs into
-    # one group, so the (whole-piece) strip is computed only then.
-    single = F.size(starts) == 1
-    labelled = F.transform(subs, lambda sp: F.when(
-        (carried != "") & ~(single & (sp == py_strip(piece))), F.concat(carried, F.lit(CONTINUATION), sp))
-        .otherwise(sp))
-    small = F.when(F.col("_nonblank"), F.array(piece)).otherwise(F.array().cast("array<string>"))
-    big = F.when(starts.isNull(), F.array().cast("array<string>")).otherwise(labelled)
-    out = stage2.select(*kc, "_offset", F.posexplode(F.when(F.col("_small"), small).otherwise(big))
-                        .alias("_k", "chunk"))
+    chunks = _chunks_of_piece(F.col("_piece"), F.col("_small"), F.col("_nonblank"), F.col("_words"),
+                              F.col("_starts"), F.col("_carried"))
+    out = stage2.select(*kc, "_offset", F.posexplode(chunks).alias("_k", "chunk"))
     return out.select(*kc, (F.col("_offset") + F.col("_k")).cast("bigint").alias("chunk_idx"), "chunk")
 
 
+def split_documents_arrays(docs: DataFrame, text: str = "text", keys: list | None = None,
+                           size: int = DEFAULT_SIZE, marker: str = DEFAULT_MARKER, stem: str = DEFAULT_STEM,
+                           restore_first: bool = False) -> DataFrame:
+    """T6 as the reference's split result: one row per document with
+    ``chunks array<string>`` (e.g. ``(file_name, file_size, chunks)``).
+    Narrow, no regrouping: the chunk array is built inside the row."""
+    keys = keys or [c for c in docs.columns if c != text]
+    kc = [F.col(k) for k in keys]
+    stage1 = _piece_table(docs, text, kc, size, marker, stem, restore_first)
+    pp = F.col("_pp")
+    zipped = F.arrays_zip(pp.alias("p"),
+                          carry_forward(F.transform(pp, lambda x: article_header(x["piece"], stem))).alias("carried"))
+    chunks = F.flatten(F.transform(zipped, lambda z: _chunks_of_piece(
+        z["p"]["piece"], z["p"]["small"], z["p"]["nonblank"], z["p"]["words"], z["p"]["starts"], z["carried"])))
+    return stage1.select(*kc, F.coalesce(chunks, F.array().cast("array<string>")).alias("chunks"))
+
+
 def pieces_with_headers(docs: DataFrame, text: str = "text", keys: list | None = None,
                         marker: str = DEFAULT_MARKER, stem: str = DEFAULT_STEM) -> DataFrame:
     """T1-T3 exposed as rows: ``(*keys, piece_idx, piece, header, carried)``."""

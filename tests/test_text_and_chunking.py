@@ -106,3 +106,11 @@ def test_splitter_is_narrow(spark):
     plan = C.split_documents(df, keys=["id"])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert F is not None
+
+
+def test_array_form_equals_rows(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(CASES)], "id bigint, text string")
+    arr = {r["id"]: list(r["chunks"]) for r in C.split_documents_arrays(df, keys=["id"]).collect()}
+    assert [arr[i] for i in range(len(CASES))] == [ref_split(t) for t in CASES]
+    plan = C.split_documents_arrays(df, keys=["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
