@@ -96,3 +96,19 @@ def t1_t3(spark, sf):
 def t4_pack_small(spark, sf):
     docs = table(spark, sf, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return C.split_documents(docs, keys=["doc_id"], marker="\nThe", stem="The", size=300)
+
+
+SEP = "␞"
+
+
+@query("t6_split_result_arrays", f"""WITH r AS ({_split_sql(LAW_SQL, C.DEFAULT_MARKER, C.DEFAULT_STEM)}),
+g AS (SELECT doc_id, list(chunk ORDER BY chunk_idx) AS chunks FROM r GROUP BY doc_id)
+SELECT CAST(d.doc_id AS BIGINT) AS doc_id, CAST(coalesce(len(g.chunks), 0) AS BIGINT) AS n_chunks,
+       coalesce(array_to_string(g.chunks, '{SEP}'), '') AS chunks
+FROM documents d LEFT JOIN g ON g.doc_id = d.doc_id""")
+def t6_arrays(spark, sf):
+    """The split result in the reference's shape (one chunk list per
+    document), compared as the chunks joined by a separator symbol."""
+    arr = C.split_documents_arrays(law_text(table(spark, sf, "documents")), keys=["doc_id"])
+    return arr.select("doc_id", F.size("chunks").cast("bigint").alias("n_chunks"),
+                      F.array_join("chunks", SEP).alias("chunks"))
