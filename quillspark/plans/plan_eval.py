@@ -66,3 +66,38 @@ def e34(spark, sf):
     preds = lab.join(docs, "doc_id").select(F.col("quality").alias("label"),
                                             (F.col("n_chars") > 1000).cast("int").alias("pred"))
     return E.metrics_row(preds, logits=None, digits=6)
+
+
+SEQ = 8
+
+
+def masked_sequences(spark, sf):
+    """Eval batches in the trainer's shape: consecutive ``embeddings`` rows
+    form sequences of ``SEQ`` positions (``logits array<array<float>>``,
+    ``labels array<int>``), with ``-100`` at both ends of every sequence."""
+    emb = table(spark, sf, "embeddings")
+    seq = F.floor(F.col("vec_id") / SEQ).cast("bigint")
+    rows = emb.select(seq.alias("seq_id"), (F.col("vec_id") - seq * SEQ).alias("pos"), "embedding", "label")
+    packed = rows.groupBy("seq_id").agg(F.array_sort(F.collect_list(F.struct("pos", "embedding", "label"))).alias("_p"))
+    n = F.size("_p")
+    labels = F.transform("_p", lambda x, i: F.when((i == 0) | (i == n - 1), F.lit(E.IGNORE)).otherwise(x["label"]))
+    return packed.select("seq_id", F.transform("_p", lambda x: x["embedding"]).alias("logits"), labels.alias("labels"))
+
+
+_MASKED_SRC = f"""SELECT vec_id // {SEQ} AS seq_id, vec_id - (vec_id // {SEQ}) * {SEQ} AS pos, embedding, label,
+  row_number() OVER (PARTITION BY vec_id // {SEQ} ORDER BY vec_id) AS rn,
+  count(*) OVER (PARTITION BY vec_id // {SEQ}) AS n FROM embeddings"""
+
+
+@query("e2_masked_positions", f"""SELECT CAST(seq_id AS BIGINT) AS seq_id, CAST(rn - 1 AS INTEGER) AS pos,
+  {_ARGMAX} AS pred, label FROM ({_MASKED_SRC}) WHERE rn > 1 AND rn < n""")
+def e2(spark, sf):
+    pos = E.with_predictions(E.positions(masked_sequences(spark, sf), keys=["seq_id"]))
+    return pos.select("seq_id", F.col("pos").cast("int"), "pred", "label")
+
+
+@query("e2_e6_metrics_masked", _metrics_sql(
+    f"SELECT embedding, label, {_ARGMAX} AS pred FROM ({_MASKED_SRC}) WHERE rn > 1 AND rn < n", True))
+def e2_metrics(spark, sf):
+    pos = E.with_predictions(E.positions(masked_sequences(spark, sf), keys=["seq_id"]))
+    return E.metrics_row(pos, digits=6)
