@@ -357,3 +357,14 @@ def test_store_ingest_and_process_chunks(spark, tmp):
     variants = spark.read.parquet(os.path.join(store, "variants"))
     assert variants.count() == 3                              # one variant per document, not duplicated
     assert run2.count() == n_chunks - 2
+
+
+def test_empty_inputs(spark):
+    from quillspark.functions.indexing import with_global_index
+    from quillspark.operators import chatlog as CL
+    empty = spark.createDataFrame([], "pos bigint, date timestamp_ntz, sender string, text string")
+    assert with_global_index(empty, ["date", "pos"]).count() == 0
+    assert CL.sender_runs(empty).count() == 0
+    ids = spark.createDataFrame([], "id string")
+    assert A.split_exact(ids, ["id"]).count() == 0
+    assert A.seeded_order(ids, ["id"], 1).count() == 0
