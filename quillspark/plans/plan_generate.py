@@ -12,6 +12,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
+from ..functions.indexing import reliable_checkpoint
 from ..functions.pytext import PY_WS
 from ..operators import generate as G
 from ..sources import sinks as S
@@ -37,7 +38,8 @@ def store(spark, sf):
         F.concat(F.lit("doc_"), F.col("doc_id"), F.lit(".txt")).alias("file_name"),
         F.col("n_chars").cast("bigint").alias("size"))
     rows = PC.t6_split_law(spark, sf).withColumn("file_name", F.concat(F.lit("doc_"), "doc_id", F.lit(".txt")))
-    return docs, G.chunks_table(rows)
+    # As in the ingest flow, the chunk table is stored once and then read.
+    return docs, reliable_checkpoint(G.chunks_table(rows))
 
 
 def empty_answers(spark):
