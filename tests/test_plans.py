@@ -35,3 +35,11 @@ def test_hash_split_is_narrow(spark):
     from quillspark.operators import assemble as A
     df = spark.range(100).select(F.col("id").cast("string").alias("id"))
     assert "Exchange" not in _plan(A.split_hash(df, ["id"]))
+
+
+def test_no_cross_joins_in_any_registered_query(spark):
+    bad = []
+    for name, q in load_all().items():
+        plan = _plan(q.fn(spark, SF))
+        bad += [(name, w) for w in ("CartesianProduct", "BroadcastNestedLoopJoin") if w in plan]
+    assert bad == []
