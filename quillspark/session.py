@@ -62,3 +62,31 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quillspark`` importable in the Python workers.
+
+    Functions passed to ``mapInPandas`` / pandas UDFs that live in this
+    package are pickled by reference, so every worker must be able to import
+    it. The package is zipped once per SparkContext and added with
+    ``addPyFile`` (Spark serves it to every executor, as spark-submit's
+    ``--py-files`` would). A no-op when already shipped.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_qs_package_shipped", False):
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    fd, path = tempfile.mkstemp(prefix="quillspark-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _dirs, files in os.walk(pkg):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._qs_package_shipped = True
