@@ -368,3 +368,19 @@ def test_empty_inputs(spark):
     ids = spark.createDataFrame([], "id string")
     assert A.split_exact(ids, ["id"]).count() == 0
     assert A.seeded_order(ids, ["id"], 1).count() == 0
+
+
+def test_standardize_roles_and_errors(spark):
+    from pyspark.sql import types as T
+    conv_t = T.ArrayType(T.StructType([T.StructField("from", T.StringType()), T.StructField("value", T.StringType())]))
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("conversations", conv_t)])
+    ok = spark.createDataFrame([(1, [("human", "q"), ("gpt", "a")]), (2, [("system", "s"), ("human", "x")])], schema)
+    std = CV.standardize_sharegpt(ok, order=["k"]).orderBy("k").collect()
+    assert [(m["role"], m["content"]) for m in std[0]["conversations"]] == [("user", "q"), ("assistant", "a")]
+    bad_sample = spark.createDataFrame([(1, [("robot", "q"), ("gpt", "a")])], schema)
+    with pytest.raises(TypeError):
+        CV.standardize_sharegpt(bad_sample, order=["k"])
+    rows = [(i, [("human", f"q{i}"), ("gpt", f"a{i}")]) for i in range(12)] + [(99, [("robot", "q"), ("gpt", "a")])]
+    later = CV.standardize_sharegpt(spark.createDataFrame(rows, schema), order=["k"])
+    with pytest.raises(Exception, match="role not in aliases"):
+        later.collect()
