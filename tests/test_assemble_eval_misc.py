@@ -384,3 +384,21 @@ def test_standardize_roles_and_errors(spark):
     later = CV.standardize_sharegpt(spark.createDataFrame(rows, schema), order=["k"])
     with pytest.raises(Exception, match="role not in aliases"):
         later.collect()
+
+
+def test_variant_export_write_order(spark, tmp):
+    ch = G.chunks_table(spark.createDataFrame([("law.txt", i, f"c{i}") for i in range(30)],
+                                              "file_name string, chunk_idx bigint, chunk string"))
+    docs = spark.createDataFrame([("law.txt", 1)], "file_name string, size bigint")
+    var = spark.createDataFrame([("law.txt", 0, "v", "p", "m", "x")],
+                                "file_name string, variant_idx bigint, variant_id string, provider string, "
+                                "model string, prompt string")
+    ans = ch.select("chunk_id", F.lit("v").alias("variant_id"), F.concat(F.lit("answer "), "chunk_idx").alias("answer"),
+                    F.lit(1).cast("bigint").alias("input_tokens"), F.lit(1).cast("bigint").alias("output_tokens"))
+    lines = S.variant_export_lines(docs, var, ans, ch, docs)
+    out = os.path.join(tmp, "export")
+    S.write_variant_exports(lines, out)
+    d = os.path.join(out, "output_name=law.txt")
+    content = "".join(open(os.path.join(d, f), encoding="utf-8").read() for f in sorted(os.listdir(d))
+                      if f.startswith("part-"))
+    assert content == "".join(f"answer {i}\n\n" for i in range(30))
