@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -42,17 +43,16 @@ def _open(uri: str):
     return pafs.FileSystem.from_uri(uri)
 
 
-def publish(uri: str, write) -> int:
-    """``write(stream)`` into a name of this attempt, moved to ``uri`` when
+@contextmanager
+def publishing(uri: str):
+    """An output stream under a name of this attempt, moved to ``uri`` when
     complete; a repeated or speculative task replaces it with equal bytes."""
     fs, path = _open(uri)
     fs.create_dir(os.path.dirname(path), recursive=True)
     attempt = f"{path}.{uuid.uuid4().hex}"
     with fs.open_output_stream(attempt) as out:
-        write(out)
-    size = fs.get_file_info(attempt).size
+        yield out
     fs.move(attempt, path)
-    return size
 
 
 def reader(uri: str):

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import table
-from . import packing
+from . import line_dedup, packing, token_counts
 
 QUERIES: dict = {}
 
@@ -31,3 +31,41 @@ def tokenizer_path() -> str:
 @_query("op7_packing")
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), length=1024, end_id=0)
+
+
+@_query("op1_line_dedup", """
+WITH raw AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM documents WHERE text IS NOT NULL
+), lines AS (
+  SELECT *, regexp_matches(line, '[^\\x20\\x09-\\x0D]') AS has FROM raw
+), worded AS (
+  SELECT doc_id, i, line, row_number() OVER d AS pos,
+         lead(line, 1) OVER d AS l2, lead(line, 2) OVER d AS l3
+  FROM lines WHERE has WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+), windows AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY line, l2, l3 ORDER BY doc_id, pos) AS occurrence
+  FROM worded WHERE l3 IS NOT NULL
+), gone AS (
+  SELECT DISTINCT doc_id, unnest([pos, pos + 1, pos + 2]) AS pos FROM windows WHERE occurrence > 1
+), marked AS (
+  SELECT w.doc_id, w.i, g.pos IS NOT NULL AS deleted FROM worded w LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.pos = w.pos
+), kept AS (
+  SELECT l.doc_id, count(*) FILTER (WHERE l.has) AS n_lines, count(*) FILTER (WHERE m.deleted) AS n_removed,
+         coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE NOT coalesce(m.deleted, false)), '') AS kept
+  FROM lines l LEFT JOIN marked m ON m.doc_id = l.doc_id AND m.i = l.i GROUP BY l.doc_id
+)
+SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+""")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_dedup.dedup_lines(docs, before="input")
+    n = line_dedup.n_lines(F.col("input"))
+    return out.select("doc_id", n.alias("n_lines"), (n - line_dedup.n_lines(F.col("text"))).alias("n_removed"),
+                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@_query("op2_token_counts")
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=50256)
