@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import table
-from . import line_dedup, packing, token_counts
+from . import line_dedup, packing, substring_dedup, token_counts
 
 QUERIES: dict = {}
 
@@ -69,3 +69,9 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op2_token_counts")
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=50256)
+
+
+@_query("op3_substring_dedup")
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), window=13)
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
