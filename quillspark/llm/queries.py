@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import table
-from . import line_dedup, packing, substring_dedup, token_counts
+from . import jaccard_join, line_dedup, packing, substring_dedup, token_counts
 
 QUERIES: dict = {}
 
@@ -75,3 +75,8 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), window=13)
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@_query("op4_jaccard_join")
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_classes(table(spark, sf_dir, "documents"), n=5, threshold=0.8)
