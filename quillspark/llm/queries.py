@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import table
-from . import jaccard_join, line_dedup, packing, substring_dedup, token_counts
+from . import decontaminate, jaccard_join, line_dedup, packing, quality_rules, substring_dedup, token_counts
 
 QUERIES: dict = {}
 
@@ -80,3 +80,13 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op4_jaccard_join")
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_classes(table(spark, sf_dir, "documents"), n=5, threshold=0.8)
+
+
+@_query("op5_quality_rules")
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_report(table(spark, sf_dir, "documents"))
+
+
+@_query("op6_decontamination")
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
