@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import table
-from . import decontaminate, jaccard_join, line_dedup, packing, quality_rules, substring_dedup, token_counts
+from . import decontaminate, jaccard_join, line_dedup, packing, quality_classifier, quality_rules, secret_scan, substring_dedup, token_counts
 
 QUERIES: dict = {}
 
@@ -90,3 +90,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_decontamination")
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
+
+
+@_query("op8_quality_classifier")
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query("op9_secret_scan")
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
