@@ -73,8 +73,8 @@ def _sketch(n: int, threshold: float, runs: int):
                         own.append(t[t <= bound].view(np.int64))
                     chosen.append(own)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(chosen, pa.list_(pa.list_(pa.int64())))],
-                    names=["doc_id", "sid", "n", "chosen"])
+                    [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()),
+                     pa.array(chosen, pa.list_(pa.list_(pa.int64())))], names=["doc_id", "th", "sid", "n", "chosen"])
     return scan
 
 
@@ -280,25 +280,10 @@ def _verify(threshold: float):
     return run
 
 
-def similar_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = RECALL) -> DataFrame:
-    """Near-duplicate classes: ``doc_id, class_id, n_links, n_copies``, a row per row.
-
-    Two documents are linked if the Jaccard similarity of their sets of
-    ``n``-word runs (words are separated by space and U+0009 to U+000D; a
-    shorter text is one run of all its words) is at least ``threshold``. A
-    class is a connected part of that graph and ``class_id`` its least
-    ``doc_id``. ``n_links`` counts the different sets a document's set is
-    linked to, ``n_copies`` the rows that share its set, itself included.
-
-    Null texts and texts without words are linked to nothing: each is its own
-    class with ``n_copies`` 1. A null ``doc_id`` takes part, but names a class
-    only (as null) if no other id is in it. Rows of one ``doc_id`` are
-    separate rows. An empty table gives an empty result; other columns are
-    ignored.
-    """
-    src = documents(docs.sparkSession, docs)
+def _classes(src: DataFrame, n: int, threshold: float, recall: float) -> DataFrame:
+    """``doc_id, th, class_id, n_links, n_copies`` of ``src`` (``doc_id, text, th``)."""
     runs = runs_needed(recall)
-    sketch = stored(src.mapInArrow(_sketch(n, threshold, runs), "doc_id bigint, sid binary, n bigint, chosen array<array<bigint>>"), "sketches")
+    sketch = stored(src.mapInArrow(_sketch(n, threshold, runs), "doc_id bigint, th bigint, sid binary, n bigint, chosen array<array<bigint>>"), "sketches")
     filled = sketch.where("n > 0")
     fold = stored(filled.groupBy("sid").agg(F.min("doc_id").alias("least"), F.min(id_key()).alias("key"), F.count("*").alias("copies")), "folded")
     # One row of each set, whichever: equal sets have equal n and chosen.
@@ -320,5 +305,45 @@ def similar_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall:
     names = labelled.groupBy("part").agg(F.min("least").alias("class_id"))
     sets = (labelled.join(names, "part").join(links, "sid", "left")
             .select("sid", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("copies").alias("n_copies")))
-    blank = sketch.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("n_copies"))
-    return filled.select("doc_id", "sid").join(sets, "sid").select("doc_id", "class_id", "n_links", "n_copies").unionByName(blank)
+    blank = sketch.where("n = 0").select("doc_id", "th", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("n_copies"))
+    return filled.select("doc_id", "th", "sid").join(sets, "sid").select("doc_id", "th", "class_id", "n_links", "n_copies").unionByName(blank)
+
+
+def similar_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = RECALL) -> DataFrame:
+    """Near-duplicate classes: ``doc_id, class_id, n_links, n_copies``, a row per row.
+
+    Two documents are linked if the Jaccard similarity of their sets of
+    ``n``-word runs (words are separated by space and U+0009 to U+000D; a
+    shorter text is one run of all its words) is at least ``threshold``. A
+    class is a connected part of that graph and ``class_id`` its least
+    ``doc_id``. ``n_links`` counts the different sets a document's set is
+    linked to, ``n_copies`` the rows that share its set, itself included.
+
+    Null texts and texts without words are linked to nothing: each is its own
+    class with ``n_copies`` 1. A null ``doc_id`` takes part, but names a class
+    only (as null) if no other id is in it. Rows of one ``doc_id`` are
+    separate rows. An empty table gives an empty result; other columns are
+    ignored.
+    """
+    return _classes(_source(docs), n, threshold, recall).drop("th")
+
+
+def _source(docs: DataFrame) -> DataFrame:
+    return documents(docs.sparkSession, docs).withColumn("th", F.xxhash64("text"))
+
+
+def one_per_class(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = RECALL) -> DataFrame:
+    """``docs`` with one document of each class of :func:`similar_classes`:
+    the one with the least ``doc_id`` (null ids last, then by a text hash).
+    Texts without words all stay, but repeated rows of one id and text count
+    as one document. All columns are kept."""
+    classes = _classes(_source(docs), n, threshold, recall)
+    last = F.lit((1 << 63) - 1)
+    place = F.struct(F.coalesce("doc_id", last).alias("__qs_dkey"), F.col("th").alias("__qs_th"))
+    # A class of null ids only is known by its text; a document without words by itself.
+    name = F.when(F.col("class_id").isNotNull() & (F.col("n_links") + F.col("n_copies") > 1), F.struct(F.col("class_id").alias("c"), F.lit(0).cast("long").alias("t")))
+    single = F.struct(F.coalesce("doc_id", last).alias("c"), F.col("th").alias("t"))
+    stay = classes.select(place.alias("p"), F.coalesce(name, single).alias("k")).groupBy("k").agg(F.min("p").alias("p")).select("p.*").distinct()
+    keyed = docs.withColumn("__qs_dkey", F.coalesce(F.col("doc_id").cast("long"), last)).withColumn("__qs_th", F.xxhash64(F.col("text").cast("string")))
+    kept = keyed.join(stay, ["__qs_dkey", "__qs_th"], "left_semi").dropDuplicates(["__qs_dkey", "__qs_th"])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import table
-from . import decontaminate, jaccard_join, line_dedup, packing, quality_classifier, quality_rules, secret_scan, substring_dedup, token_counts
+from . import decontaminate, jaccard_join, line_dedup, packing, quality_classifier, quality_rules, secret_scan, substring_dedup, token_counts, warc
 
 QUERIES: dict = {}
 
@@ -100,3 +100,18 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_secret_scan")
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
+
+
+@_query("op10_warc", """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), g AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS largest FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN largest IS NOT NULL AND largest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN largest IS NOT NULL AND largest <> page_id THEN largest END AS refers_to
+FROM g
+""")
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
