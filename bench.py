@@ -22,7 +22,7 @@ from quillspark.session import checkpoint_dir, get_spark  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=cpus)
+    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=cpus, driver_memory="16g")
     checkpoint_dir(spark)
     reg = load_all()
     names = [n for n, q in reg.items() if q.bench]

@@ -83,17 +83,35 @@ def parse_messages(df: DataFrame, message: str = "m", keep: list | None = None,
         has_plain.alias("has_plain"))
 
 
-def read_chat_export(spark: SparkSession, path: str, normalize_utc: bool = False) -> DataFrame:
+_EXPORT = "messages array<variant>, _unreadable string"
+
+
+def _export_files(spark: SparkSession, path: str) -> DataFrame:
+    raw = (spark.read.schema(_EXPORT).option("multiLine", "true").option("columnNameOfCorruptRecord", "_unreadable")
+           .json(path).select(F.col("_metadata.file_path").alias("file"), "messages", "_unreadable"))
+    return raw.withColumn("error", F.when(F.col("_unreadable").isNotNull(), F.lit("invalid JSON"))
+                          .when(F.col("messages").isNull(), F.lit("no messages list")))
+
+
+def export_errors(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, error)`` of the export files that can't be used."""
+    return _export_files(spark, path).where("error is not null").select("file", "error")
+
+
+def read_chat_export(spark: SparkSession, path: str, normalize_utc: bool = False, skip_bad: bool = False) -> DataFrame:
     """S2 + F7: chat-export JSON files -> one row per message.
 
-    Each file is one JSON object with a ``messages`` list; a file without it
-    yields no rows. Multi-line JSON is not splittable, so a large export
-    should be several files (one task each).
+    Each file is one JSON object with a ``messages`` list, whose items are
+    parsed one by one (only one message is bounded by the size of a VARIANT,
+    not the file). An unreadable file or one without the list is an error;
+    with ``skip_bad`` it yields no rows and :func:`export_errors` lists it.
+    Multi-line JSON is not splittable: a large export should be several files.
     """
-    raw = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("doc"))
-    msgs = F.try_variant_get("doc", "$.messages", "array<variant>")
-    rows = raw.select("file", F.posexplode(F.coalesce(msgs, F.array().cast("array<variant>"))).alias("pos", "m"))
+    raw = _export_files(spark, path)
+    msgs = F.coalesce("messages", F.array().cast("array<variant>"))
+    if not skip_bad:
+        msgs = F.when(F.col("error").isNull(), msgs).otherwise(F.raise_error(F.concat("file", F.lit(": "), "error")))
+    rows = raw.select("file", F.posexplode(msgs).alias("pos", "m"))
     rows = rows.withColumn("pos", F.col("pos").cast("bigint"))
     return parse_messages(rows, "m", keep=["file", "pos"], normalize_utc=normalize_utc)
 

@@ -37,10 +37,13 @@ DEFAULT_STEM = "Стат"
 DEFAULT_SIZE = 2000
 CONTINUATION = " (продолжение)\n"
 
-_W = PY_NON_WS + "+"
-# Up to the first four words, anchored at the start (no full split needed).
-_FIRST4 = (r"\A" + PY_WS + "*(" + _W + ")(?:" + PY_WS + "+(" + _W + "))?(?:" + PY_WS + "+(" + _W
-           + "))?(?:" + PY_WS + "+(" + _W + "))?")
+_BLOCK = 256                   # entries of a finished block of an accumulator
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, also where ``body``
+    reads it inside another array's lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def split_at_marker(text: Column, marker: str = DEFAULT_MARKER, stem: str = DEFAULT_STEM,
@@ -57,47 +60,47 @@ def split_at_marker(text: Column, marker: str = DEFAULT_MARKER, stem: str = DEFA
 
 def article_header(piece: Column, stem: str = DEFAULT_STEM) -> Column:
     """``"Статья 12"`` from the first four words, or ``''``."""
-    w = [F.regexp_extract(piece, _FIRST4, k) for k in (1, 2, 3, 4)]
-    cands = []
-    for i in range(3):
-        nxt = w[i + 1]
-        ok = w[i].startswith(F.lit(stem)) & py_isdigit(nxt) & (F.length(nxt) <= 3)
-        cands.append(F.when(ok, F.concat(w[i], F.lit(" "), nxt)))
-    return F.coalesce(*cands, F.lit(""))
+    # A limited split stops early; white space at the start adds one empty part.
+    first = F.slice(F.array_remove(F.split(piece, PY_WS + "+", 6), ""), 1, 4)
 
-
-def carry_forward(headers: Column) -> Column:
-    """For each position the last non-empty header up to it (or '')."""
-    init = F.struct(F.lit("").alias("cur"), F.array().cast("array<string>").alias("out"))
-    return F.aggregate(
-        headers, init,
-        lambda acc, h: F.struct(
-            F.when(h != "", h).otherwise(acc["cur"]).alias("cur"),
-            F.concat(acc["out"], F.array(F.when(h != "", h).otherwise(acc["cur"]))).alias("out")),
-        lambda acc: acc["out"])
+    def header(w):
+        def pair(i):
+            a, b = F.get(w, F.lit(i)), F.get(w, F.lit(i + 1))
+            return F.when(a.startswith(F.lit(stem)) & py_isdigit(b) & (F.length(b) <= 3), F.concat(a, F.lit(" "), b))
+        return F.coalesce(*[pair(i) for i in range(3)], F.lit(""))
+    return let(first, header)
 
 
-def exclusive_prefix_sum(counts: Column) -> Column:
-    init = F.struct(F.lit(0).cast("bigint").alias("s"), F.array().cast("array<bigint>").alias("out"))
-    return F.aggregate(
-        counts, init,
-        lambda acc, n: F.struct((acc["s"] + n).alias("s"), F.concat(acc["out"], F.array(acc["s"])).alias("out")),
-        lambda acc: acc["out"])
+def carry_forward(headers: Column) -> Column:
+    """For each position the last non-empty header up to it (or ''):
+    one run per non-empty header, repeated up to the next one's position."""
+    def fill(h):
+        at = F.filter(F.transform(h, lambda x, i: F.when(x != "", i).otherwise(-1)), lambda i: i >= 0)
+        return let(at, lambda p: F.flatten(F.transform(
+            F.arrays_zip(F.concat(F.array(F.lit(0)), p).alias("a"), F.concat(p, F.array(F.size(h))).alias("b")),
+            lambda r, k: F.array_repeat(F.when(k == 0, F.lit("")).otherwise(F.get(h, r["a"])), r["b"] - r["a"]))))
+    return let(headers, fill)
 
 
 def pack_break_starts(lengths: Column, size: int) -> Column:
     """T4 core: 0-based start index of every packed group of words, from word
-    lengths only (integer accumulator)."""
-    init = F.struct(F.lit(0).alias("cur"), F.lit(0).alias("i"), F.array(F.lit(0)).alias("starts"))
+    lengths only (integer accumulator). Starts are gathered in blocks, so the
+    accumulator copied per step stays short however long the piece is."""
+    none = F.array().cast("array<int>")
+    init = F.struct(F.lit(0).alias("cur"), F.lit(0).alias("i"), F.array(F.lit(0)).alias("block"),
+                    F.array().cast("array<array<int>>").alias("done"))
 
     def step(acc, n):
         over = acc["cur"] + n + 1 > size
         brk = (acc["cur"] > 0) & over
+        full = brk & (F.size(acc["block"]) >= _BLOCK)
+        block = F.when(full, none).otherwise(acc["block"])
         return F.struct(
             F.when(over, n + 1).otherwise(acc["cur"] + n + 1).alias("cur"),
             (acc["i"] + 1).alias("i"),
-            F.when(brk, F.concat(acc["starts"], F.array(acc["i"]))).otherwise(acc["starts"]).alias("starts"))
-    return F.aggregate(lengths, init, step, lambda acc: acc["starts"])
+            F.when(brk, F.concat(block, F.array(acc["i"]))).otherwise(acc["block"]).alias("block"),
+            F.when(full, F.concat(acc["done"], F.array(acc["block"]))).otherwise(acc["done"]).alias("done"))
+    return F.aggregate(lengths, init, step, lambda acc: F.flatten(F.concat(acc["done"], F.array(acc["block"]))))
 
 
 def _word_lengths(words: Column) -> Column:
@@ -143,30 +146,15 @@ def split_documents(docs: DataFrame, text: str = "text", keys: list | None = Non
                     restore_first: bool = False) -> DataFrame:
     """T6 over a table: one row per chunk ``(*keys, chunk_idx, chunk)``.
 
-    Narrow end to end (no shuffle). Every piece is split into words and
-    packed exactly once (``_piece_table``); the header carry-forward, the
-    chunk-offset prefix sum and the explode only read that array. Cost is
-    linear in the text.
+    Narrow end to end (no shuffle): the numbered rows of
+    :func:`split_documents_arrays`. Every piece is split into words and
+    packed exactly once (``_piece_table``); the header carry-forward only
+    reads that array.
     """
     keys = keys or [c for c in docs.columns if c != text]
-    kc = [F.col(k) for k in keys]
-    stage1 = _piece_table(docs, text, kc, size, marker, stem, restore_first)
-    pp = F.col("_pp")
-    counts = F.transform(pp, lambda x: F.when(x["small"], F.when(x["nonblank"], F.lit(1)).otherwise(F.lit(0)))
-                         .otherwise(F.coalesce(F.size(x["starts"]), F.lit(0))).cast("bigint"))
-    per_piece = F.arrays_zip(
-        pp.alias("p"),
-        carry_forward(F.transform(pp, lambda x: article_header(x["piece"], stem))).alias("carried"),
-        exclusive_prefix_sum(counts).alias("offset"))
-    stage2 = stage1.select(*kc, F.explode(per_piece).alias("z")).select(
-        *kc, F.col("z.p.piece").alias("_piece"), F.col("z.p.small").alias("_small"),
-        F.col("z.p.nonblank").alias("_nonblank"), F.col("z.p.words").alias("_words"),
-        F.col("z.p.starts").alias("_starts"), F.col("z.carried").alias("_carried"),
-        F.col("z.offset").alias("_offset"))
-    chunks = _chunks_of_piece(F.col("_piece"), F.col("_small"), F.col("_nonblank"), F.col("_words"),
-                              F.col("_starts"), F.col("_carried"))
-    out = stage2.select(*kc, "_offset", F.posexplode(chunks).alias("_k", "chunk"))
-    return out.select(*kc, (F.col("_offset") + F.col("_k")).cast("bigint").alias("chunk_idx"), "chunk")
+    arrays = split_documents_arrays(docs, text, keys, size, marker, stem, restore_first)
+    out = arrays.select(*[F.col(k) for k in keys], F.posexplode("chunks").alias("_k", "chunk"))
+    return out.select(*keys, F.col("_k").cast("bigint").alias("chunk_idx"), "chunk")
 
 
 def split_documents_arrays(docs: DataFrame, text: str = "text", keys: list | None = None,

@@ -8,15 +8,15 @@
 * V3 extension: each row's conversation is concatenated with the rows at the
   same position of ``k-1`` seeded shuffles (md5 order, seeds ``random_state +
   j``); positions are global indexes, the concatenation an equi-join.
-* V4 standardize: role vs content key inferred from the first 10 rows (the
-  key with fewer distinct values is the role, the second on a tie); roles
+* V4 standardize: role vs content key inferred from all rows (the key with
+  fewer distinct values is the role, the second on a tie); roles
   mapped through the alias lists, unknown roles raise.
 * V8 key mapping for templates (``from/value/human/gpt`` -> ``role/content``).
 """
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,21 +34,45 @@ EXTENSION_SEED = 3407
 
 # ---------------------------------------------------------------- V1
 
+def _enclosed(text: str, opening: str, closing: str, one_line: bool) -> Iterator[tuple[str, str | None]]:
+    """``(literal, inner)`` pairs in order: text up to an ``opening`` and the
+    non-empty part up to the next ``closing``; ``inner`` is None for the tail."""
+    rest = text
+    literal = ""
+    while True:
+        before, found, after = rest.partition(opening)
+        end = after.find(closing, 1) if found else -1
+        if not found:
+            yield literal + before, None
+            return
+        if end < 0 or (one_line and "\n" in after[:end]):
+            literal += before + opening[0]          # not an opening; go on behind its first character
+            rest = (opening + after)[1:]
+            continue
+        yield literal + before, after[:end]
+        literal, rest = "", after[end + len(closing):]
+
+
 def parse_merged_prompt(prompt: str, columns: list[str]) -> list:
-    """Split a merged prompt into literal text pieces and ``(optional, text)``
-    parts; unknown ``{column}`` names raise ``KeyError``."""
-    for name in re.findall(r"\{(.+?)\}", prompt):
-        if name not in columns:
-            raise KeyError(f"prompt names {name!r} which is not a column; columns: {columns}")
-    parts, pos = [], 0
-    for m in re.finditer(r"\[\[.+?\]\]", prompt, flags=re.DOTALL | re.MULTILINE):
-        if m.start() > pos:
-            parts.append(("text", prompt[pos:m.start()]))
-        parts.append(("optional", m.group(0)[2:-2]))
-        pos = m.end()
-    if pos < len(prompt):
-        parts.append(("text", prompt[pos:]))
-    return parts
+    """A merged prompt as nodes: ``("text", s)``, ``("column", name)`` and
+    ``("optional", nodes)``. Unknown columns raise ``KeyError``."""
+    def fields(text: str) -> list:
+        out = []
+        for literal, name in _enclosed(text, "{", "}", one_line=True):
+            if literal:
+                out.append(("text", literal))
+            if name is not None:
+                if name not in columns:
+                    raise KeyError(f"no column {name!r} for the prompt's placeholder (have: {', '.join(columns)})")
+                out.append(("column", name))
+        return out
+
+    nodes = []
+    for literal, optional in _enclosed(prompt, "[[", "]]", one_line=False):
+        nodes += fields(literal)
+        if optional is not None:
+            nodes.append(("optional", fields(optional)))
+    return nodes
 
 
 def _truthy(c: Column, dtype: T.DataType) -> Column:
@@ -63,33 +87,26 @@ def _truthy(c: Column, dtype: T.DataType) -> Column:
     return c.isNotNull()
 
 
-def _fill(text: str, schema: T.StructType) -> Column:
-    out, pos = [], 0
-    for m in re.finditer(r"\{(.+?)\}", text):
-        out.append(F.lit(text[pos:m.start()]))
-        name = m.group(1)
-        dtype = schema[name].dataType
-        out.append(py_str(F.col(name), "boolean" if isinstance(dtype, T.BooleanType) else None))
-        pos = m.end()
-    out.append(F.lit(text[pos:]))
-    return F.concat(*out)
+def _filled(nodes: list, schema: T.StructType) -> Column:
+    def one(kind, value):
+        if kind == "text":
+            return F.lit(value)
+        return py_str(F.col(value), "boolean" if isinstance(schema[value].dataType, T.BooleanType) else None)
+    return F.concat(*[one(*n) for n in nodes]) if nodes else F.lit("")
 
 
 def merged_prompt(df: DataFrame, prompt: str) -> Column:
-    """V1: the merged-prompt Column for ``df``."""
-    parts = parse_merged_prompt(prompt, df.columns)
+    """V1: the merged-prompt Column for ``df``. An optional part depends on
+    its first column; one without columns always stays."""
     pieces = []
-    for kind, text in parts:
-        if kind == "text":
-            pieces.append(_fill(text, df.schema))
-            continue
-        cols = re.findall(r"\{(.+?)\}", text)
-        if not cols:
-            pieces.append(F.lit(text))
+    for kind, value in parse_merged_prompt(prompt, df.columns):
+        if kind != "optional":
+            pieces.append(_filled([(kind, value)], df.schema))
             continue
-        first = cols[0]
-        pieces.append(F.when(_truthy(F.col(first), df.schema[first].dataType), _fill(text, df.schema))
-                      .otherwise(F.lit("")))
+        body = _filled(value, df.schema)
+        first = next((v for k, v in value if k == "column"), None)
+        pieces.append(body if first is None else
+                      F.when(_truthy(F.col(first), df.schema[first].dataType), body).otherwise(F.lit("")))
     return F.concat(*pieces) if pieces else F.lit("")
 
 
@@ -99,8 +116,7 @@ _SHAREGPT = T.ArrayType(T.StructType([T.StructField("from", T.StringType()),
                                       T.StructField("value", T.StringType())]))
 
 
-def to_sharegpt(df: DataFrame, merged_prompt_text: str, output_column: str, keep: list | None = None,
-                merged_column: str = "instruction") -> DataFrame:
+def to_sharegpt(df: DataFrame, merged_prompt_text: str, output_column: str, keep: list | None = None) -> DataFrame:
     """V2: ``conversations`` in human/gpt form (plus ``keep`` columns)."""
     if "conversations" in df.columns and isinstance(df.schema["conversations"].dataType, T.ArrayType):
         raise TypeError("dataset is probably already in ShareGPT format")
@@ -131,37 +147,43 @@ def extend_conversations(df: DataFrame, order: list, k: int, random_state: int =
 
 # ---------------------------------------------------------------- V4 / V8
 
-def infer_role_key(df: DataFrame, conversations: str = "conversations", order: list | None = None) -> tuple[str, str]:
-    """Role and content keys from the first 10 rows (driver reads 10 rows)."""
+def infer_role_key(df: DataFrame, conversations: str = "conversations", order: list | None = None,
+                   first_rows: int | None = None) -> tuple[str, str]:
+    """Role and content keys: the key with fewer distinct values over all rows
+    is the role (the second key on a tie). ``first_rows`` looks only at that
+    many rows in ``order``, which the reference does with ten."""
     fields = df.schema[conversations].dataType.elementType.fieldNames()
     if len(fields) != 2:
         raise AssertionError("messages must have exactly two keys")
-    head = df.orderBy(*order) if order else df
-    sample = head.limit(10).select(F.explode(conversations).alias("m"))
-    counts = sample.agg(*[F.countDistinct(F.col("m")[f]).alias(f) for f in fields]).collect()[0]
+    if first_rows is not None:
+        if not order:
+            raise ValueError("first_rows needs an order")
+        df = df.orderBy(*order).limit(first_rows)
     first, second = fields
+    counts = (df.select(F.explode(conversations).alias("m"))
+              .agg(*[F.approx_count_distinct(F.col("m")[f], 0.01).alias(f) for f in fields]
+                   if first_rows is None else [F.countDistinct(F.col("m")[f]).alias(f) for f in fields]).first())
     if counts[first] < counts[second]:
         return first, second
     return second, first
 
 
 def standardize_sharegpt(df: DataFrame, conversations: str = "conversations", order: list | None = None,
-                         aliases_for_system=None, aliases_for_user=None, aliases_for_assistant=None) -> DataFrame:
-    """V4: messages -> ``{role: system|user|assistant, content}``."""
+                         aliases_for_system=None, aliases_for_user=None, aliases_for_assistant=None,
+                         keys: tuple[str, str] | None = None, first_rows: int | None = None) -> DataFrame:
+    """V4: messages -> ``{role: system|user|assistant, content}``. ``keys``
+    names the role and content keys; by default they are inferred from all
+    rows (:func:`infer_role_key`). A role outside the aliases, in any row, is
+    an error when that row is computed."""
     sys_a = aliases_for_system or ALIASES_SYSTEM
     usr_a = aliases_for_user or ALIASES_USER
     ast_a = aliases_for_assistant or ALIASES_ASSISTANT
-    role_key, content_key = infer_role_key(df, conversations, order)
-    head = (df.orderBy(*order) if order else df).limit(10)
-    seen = {r[0] for r in head.select(F.explode(F.col(conversations)[role_key]).alias("r")).distinct().collect()}
-    unknown = seen - set(sys_a + usr_a + ast_a)
-    if unknown:
-        raise TypeError(f"{sorted(unknown)} are not in aliases")
+    role_key, content_key = keys or infer_role_key(df, conversations, order, first_rows)
 
     def role(r):
         return (F.when(r.isin(*sys_a), F.lit("system")).when(r.isin(*usr_a), F.lit("user"))
                  .when(r.isin(*ast_a), F.lit("assistant"))
-                 .otherwise(F.raise_error(F.concat(F.lit("role not in aliases: "), r))))
+                 .otherwise(F.raise_error(F.concat(F.lit("role not in aliases: "), F.coalesce(r, F.lit("null"))))))
     std = F.transform(conversations, lambda m: F.struct(role(m[role_key]).alias("role"),
                                                         m[content_key].alias("content")))
     return df.withColumn(conversations, std)

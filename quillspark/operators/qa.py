@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.pytext import literal_split, py_strip
+from ..session import is_file
 
 # The block marks of the QA format.
 Q_MARK = "Вопрос:"
@@ -31,9 +32,10 @@ def _c(c) -> Column:
 
 
 def read_qa_files(spark: SparkSession, path: str, glob: str = "*.qa") -> DataFrame:
-    """S3: one file, or every ``*.qa`` file of a directory, as whole texts
-    ``(file, text)``; ``\\r\\n`` is normalised as text-mode reading does."""
-    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    """S3: one file of any name, or every ``*.qa`` file of a directory, as
+    whole texts ``(file, text)``; ``\\r\\n`` is normalised as text-mode
+    reading does."""
+    reader = spark.read.option("pathGlobFilter", glob) if glob and not is_file(spark, path) else spark.read
     raw = reader.text(path, wholetext=True)
     return raw.select(F.col("_metadata.file_path").alias("file"),
                       F.regexp_replace("value", "\r\n?", "\n").alias("text"))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.pytext import py_strip
 
-ONLY_UA = "Only user and assistant roles are supported!"
+ONLY_UA = "a role other than user and assistant has no place in this template"
 
 # Default system messages of the named templates.
 SYS_UNSLOTH = "You are a helpful assistant to the user"
@@ -46,15 +46,18 @@ def _raise(msg: str) -> Column:
 
 
 def _role(m: Column) -> Column:
-    return m["role"]
+    return F.coalesce(m["role"], _raise("a message has no role"))
 
 
 def _content(m: Column) -> Column:
-    return m["content"]
+    """A NULL content is an error: no turn may drop out of a training text."""
+    return F.coalesce(m["content"], _raise("a message has no content"))
 
 
 def _join(arr: Column, fn) -> Column:
-    return F.coalesce(F.array_join(F.transform(arr, fn), ""), L(""))
+    """Pieces in order; a NULL piece is a message the template skips, a NULL
+    conversation gives NULL."""
+    return F.array_join(F.transform(arr, fn), "")
 
 
 def _rest(msgs: Column, k: int) -> Column:
@@ -63,7 +66,7 @@ def _rest(msgs: Column, k: int) -> Column:
 
 
 def _is_sys(m: Column) -> Column:
-    return F.coalesce(_role(m) == "system", L(False))
+    return F.coalesce(m["role"] == "system", L(False))
 
 
 def _need_first(msgs: Column, body: Column) -> Column:
@@ -265,7 +268,7 @@ def body_llama31(msgs, ctx, has_tool_calls: bool = False):
     if ctx.tools is not None and ctx.tools_in_user_message:
         first = F.get(rest, 0)
         parts.append(F.when(F.size(rest) == 0, _raise(
-            "Cannot put tools in the first user message when there's no first user message!"))
+            "tools go into the first user message, and there is none"))
             .otherwise(F.concat(L("<|start_header_id|>user<|end_header_id|>\n\n" + LLAMA31_TOOLS_USER
                                   + tools_json), _content(first), L("<|eot_id|>"))))
         rest = _rest(rest, 1)
@@ -278,7 +281,7 @@ def body_llama31(msgs, ctx, has_tool_calls: bool = False):
         if not has_tool_calls:
             return F.when(is_tool, tool).otherwise(plain)
         tc = m["tool_calls"]
-        call = F.when(F.size(tc) != 1, _raise("This model only supports single tool-calls at once!")) \
+        call = F.when(F.size(tc) != 1, _raise("a message may hold one tool call only")) \
                 .otherwise(F.concat(L('<|start_header_id|>assistant<|end_header_id|>\n\n{"name": "'),
                                     F.get(tc, 0)["name"], L('", "parameters": '),
                                     F.get(tc, 0)["arguments"], L("}<|eot_id|>")))

@@ -38,7 +38,7 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     pats = sys.argv[2:]
     reg = load_all()
-    spark = get_spark()
+    spark = get_spark(master="local[8]", shuffle_partitions=8, driver_memory="8g")
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")

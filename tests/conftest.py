@@ -6,13 +6,12 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-os.environ.setdefault("QS_DRIVER_MEMORY", "4g")
 
 
 @pytest.fixture(scope="session")
 def spark():
     from quillspark.session import checkpoint_dir, get_spark
-    s = get_spark(master="local[4]", shuffle_partitions=8)
+    s = get_spark(master="local[4]", shuffle_partitions=8, driver_memory="4g")
     checkpoint_dir(s)
     yield s
     s.stop()

@@ -64,7 +64,7 @@ def test_default_and_override_system(spark):
 
 
 def test_error_paths(spark):
-    with pytest.raises(Exception, match="Only user and assistant"):
+    with pytest.raises(Exception, match="other than user and assistant"):
         render(spark, [("user", "a"), ("tool", "b")], "unsloth")
     with pytest.raises(Exception, match="messages\\[1\\]"):
         render(spark, [("system", "s")], "mistral")
@@ -166,7 +166,13 @@ def test_chat_export_pipeline(spark, tmp):
         json.dump(EXPORT, f, ensure_ascii=False)
     with open(os.path.join(tmp, "other.json"), "w", encoding="utf-8") as f:
         json.dump({"no_messages": []}, f)
-    msgs = CL.read_chat_export(spark, tmp)
+    with pytest.raises(Exception, match="no messages list"):
+        CL.read_chat_export(spark, tmp).count()
+    with open(os.path.join(tmp, "damaged.json"), "w", encoding="utf-8") as f:
+        f.write('{"messages": [')
+    errors = {os.path.basename(r["file"]): r["error"] for r in CL.export_errors(spark, tmp).collect()}
+    assert errors == {"other.json": "no messages list", "damaged.json": "invalid JSON"}
+    msgs = CL.read_chat_export(spark, tmp, skip_bad=True)
     assert msgs.count() == len(EXPORT["messages"])
     kept = CL.filter_messages(msgs)
     texts = [r["text"] for r in kept.orderBy("pos").collect()]
@@ -233,9 +239,9 @@ def test_llama31_tools_in_first_user_message(spark):
             "for a function call with its proper arguments") in out
     import json as _json
     assert _json.dumps(TOOLS[0], indent=4) + "\n\nweather?<|eot_id|>" in out
-    with pytest.raises(Exception, match="single tool-calls"):
+    with pytest.raises(Exception, match="one tool call only"):
         _render_tc(spark, [("user", "a", None), ("assistant", None, [("x", "{}"), ("y", "{}")])], "llama-3.1")
-    with pytest.raises(Exception, match="no first user message"):
+    with pytest.raises(Exception, match="there is none"):
         _render_tc(spark, [("system", "s", None)], "llama-3.1", tools=TOOLS)
 
 
@@ -263,3 +269,39 @@ def test_iso_dates_independent_of_session_zone(spark):
         assert str(r[1]["x"]) == "2024-03-01 08:00:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_large_export_loses_no_message(spark, tmp):
+    """A file beyond the 128 MiB that one VARIANT value may hold."""
+    path = os.path.join(tmp, "large.json")
+    filler = "x" * 100_000
+    with open(path, "w", encoding="utf-8") as f:
+        f.write('{"messages": [')
+        for i in range(1400):
+            f.write((", " if i else "") + json.dumps({"type": "message", "date": "2024-03-01T10:00:00", "from": "A", "text": f"{i} {filler}"}))
+        f.write("]}")
+    assert os.path.getsize(path) > 128 << 20
+    assert CL.read_chat_export(spark, path).select("pos").distinct().count() == 1400
+
+
+def test_one_qa_file_of_any_name(spark, tmp):
+    path = os.path.join(tmp, "blocks.txt")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("Вопрос: a\nОтвет: b")
+    assert QA.read_qa_files(spark, path).count() == 1
+    assert QA.read_qa_files(spark, tmp).count() == 0
+    with open(os.path.join(tmp, "x.qa"), "w", encoding="utf-8") as f:
+        f.write("Вопрос: a\nОтвет: b")
+    assert QA.read_qa_files(spark, tmp).count() == 1
+
+
+def test_a_message_without_content_is_an_error(spark):
+    t = "m array<struct<role:string,content:string>>"
+    bad = spark.createDataFrame([([("user", "q"), ("assistant", None)],)], t)
+    for col in [TP.render("m", n) for n in ("chatml", "unsloth", "qwen-2.5")] + [TP.render_trainer_v2("m"), TP.render_plain("m"), TP.render_parts("m")]:
+        with pytest.raises(Exception, match="no content"):
+            bad.select(col).collect()
+    with pytest.raises(Exception, match="no content"):
+        spark.createDataFrame([([("system", None), ("user", "q")],)], t).select(TP.render("m", "qwen-2.5")).collect()
+    none = spark.createDataFrame([(None,)], t).select(TP.render("m", "chatml").alias("t")).first()
+    assert none["t"] is None
