@@ -13,11 +13,13 @@ the data instead of with the largest group.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, shared_path
 
 PID = "_qs_pid"
 LOCAL = "_qs_local"
@@ -98,6 +100,39 @@ def with_global_index(df: DataFrame, order: list, name: str = "gidx",
     return laid.withColumn(name, offset_of(offs) + F.col(LOCAL))
 
 
+def key_index(df: DataFrame, keys: list[str], name: str = "gidx") -> DataFrame:
+    """``keys`` and their 0-based dense position: only the keys are laid out
+    and written, whatever else ``df`` holds. ``keys`` must be unique."""
+    return drop_internal(with_global_index(df.select(*keys), keys, name))
+
+
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a fresh folder of the shared checkpoint folder
+    and read from there."""
+    path = shared_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+HASH_DIGITS = 4                # hex digits of a hash bucket: at most 65,536 buckets
+
+
+def hash_order_index(keyed: DataFrame, key: str, ties: list[str], name: str) -> DataFrame:
+    """Add the 0-based dense position in ``(key, *ties)`` order, ``key`` being
+    a hex hash. Hash prefixes are even range buckets without sampling: their
+    sizes give the offsets, rows are numbered inside their bucket. ``keyed``
+    is read twice, so it should be a narrow stored table."""
+    bucket = F.substring(key, 1, HASH_DIGITS).alias("_qs_bucket")
+    # One row per bucket: the window over all of them is bounded.
+    sizes = keyed.groupBy(bucket).agg(F.count(F.lit(1)).alias("_qs_n"))
+    before = F.coalesce(F.sum("_qs_n").over(Window.orderBy("_qs_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("_qs_bucket", before.alias("_qs_before"))
+    own = Window.partitionBy("_qs_bucket").orderBy(key, *ties)
+    numbered = keyed.withColumn("_qs_bucket", bucket).withColumn("_qs_local", F.row_number().over(own) - 1)
+    out = numbered.join(F.broadcast(offsets), "_qs_bucket")
+    return out.withColumn(name, (F.col("_qs_before") + F.col("_qs_local")).cast("bigint")).drop("_qs_bucket", "_qs_local", "_qs_before")
+
+
 def local_window() -> Window:
     return Window.partitionBy(PID).orderBy(LOCAL)
 

@@ -22,8 +22,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.indexing import drop_internal, with_global_index
-from ..functions.pytext import md5_key, py_str
+from ..functions.indexing import key_index
+from ..functions.pytext import py_str
+from .assemble import seeded_order
 
 # Default role aliases of the standardizer.
 ALIASES_SYSTEM = ["system"]
@@ -131,18 +132,21 @@ def to_sharegpt(df: DataFrame, merged_prompt_text: str, output_column: str, keep
 def extend_conversations(df: DataFrame, order: list, k: int, random_state: int = EXTENSION_SEED,
                          conversations: str = "conversations") -> DataFrame:
     """V3: concatenate each row's conversation with the rows at the same
-    position of ``k-1`` seeded shuffles; the row count stays ``n``."""
+    position of ``k-1`` seeded shuffles; the row count stays ``n``. The
+    positions are paired on the ``order`` keys alone (which must be unique);
+    each shuffle's conversations join the pairs once."""
     if k <= 1:
         return df
-    base = drop_internal(with_global_index(df, order, "_qs_pos"))
-    out = base
+    pairs = key_index(df, order, "_qs_pos")
     for j in range(1, k):
-        keyed = df.select(*order, F.col(conversations).alias(f"_qs_c{j}")) \
-                  .withColumn("_qs_key", md5_key(random_state + j, *order))
-        shuffled = drop_internal(with_global_index(keyed, ["_qs_key", *order], "_qs_pos"))
-        out = out.join(shuffled.select("_qs_pos", f"_qs_c{j}"), "_qs_pos")
+        theirs = seeded_order(df.select(*order), order, random_state + j, "_qs_pos")
+        pairs = pairs.join(theirs.select("_qs_pos", *[F.col(c).alias(f"_qs_{j}_{c}") for c in order]), "_qs_pos")
+    out = df.join(pairs.drop("_qs_pos"), order)
+    for j in range(1, k):
+        other = df.select(*[F.col(c).alias(f"_qs_{j}_{c}") for c in order], F.col(conversations).alias(f"_qs_c{j}"))
+        out = out.join(other, [f"_qs_{j}_{c}" for c in order])
     merged = F.concat(F.col(conversations), *[F.col(f"_qs_c{j}") for j in range(1, k)])
-    return out.withColumn(conversations, merged).drop("_qs_pos", *[f"_qs_c{j}" for j in range(1, k)])
+    return out.withColumn(conversations, merged).select(*df.columns)
 
 
 # ---------------------------------------------------------------- V4 / V8

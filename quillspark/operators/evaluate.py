@@ -78,18 +78,19 @@ def macro_prf(preds: DataFrame, pred: str = "pred", label: str = "label") -> Dat
 
 def metrics_row(preds: DataFrame, pred: str = "pred", label: str = "label",
                 logits: str | None = "logits", digits: int | None = None) -> DataFrame:
-    """The five named metrics as ``(metric, value)`` rows (one pass for
-    accuracy and loss, one small class table for P/R/F1)."""
-    ce = F.avg(cross_entropy(logits, label)) if logits else F.lit(None).cast("double")
-    base = preds.agg(F.avg((F.col(pred) == F.col(label)).cast("double")).alias("eval_token_accuracy"),
-                     ce.alias("eval_ce_loss"))
-    prf = macro_prf(preds, pred, label)
+    """The five named metrics as ``(metric, value)`` rows, in one pass:
+    counts and loss per (label, prediction), then per class, then one row."""
+    ce = F.sum(cross_entropy(logits, label)) if logits else F.lit(None).cast("double")
+    pairs = preds.groupBy(F.col(label).alias("y"), F.col(pred).alias("p")).agg(F.count(F.lit(1)).alias("n"), ce.alias("ce"))
+    hit = F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)
+    sides = F.array(F.struct(F.col("y").alias("c"), F.col("n").alias("ap"), F.lit(0).cast("bigint").alias("pp"), hit.cast("bigint").alias("tp"), F.col("ce").alias("ce")),
+                    F.struct(F.col("p").alias("c"), F.lit(0).cast("bigint").alias("ap"), F.col("n").alias("pp"), F.lit(0).cast("bigint").alias("tp"), F.lit(None).cast("double").alias("ce")))
+    per = pairs.select(F.inline(sides)).groupBy("c").agg(*[F.sum(x).alias(x) for x in ("ap", "pp", "tp", "ce")])
+    prec = F.when(F.col("pp") > 0, F.col("tp") / F.col("pp")).otherwise(0.0)
+    rec = F.when(F.col("ap") > 0, F.col("tp") / F.col("ap")).otherwise(0.0)
+    f1 = F.when(F.col("pp") + F.col("ap") > 0, 2 * F.col("tp") / (F.col("pp") + F.col("ap"))).otherwise(0.0)
+    one = per.agg((F.sum("tp") / F.sum("ap")).alias("eval_token_accuracy"), F.avg(prec).alias("eval_precision"), F.avg(rec).alias("eval_recall"),
+                  F.avg(f1).alias("eval_f1"), (F.sum("ce") / F.sum("ap")).alias("eval_ce_loss"))
     rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
-    rows = [base.select(F.lit("eval_token_accuracy").alias("metric"), rnd(F.col("eval_token_accuracy")).alias("value"))]
-    for m in ("eval_precision", "eval_recall", "eval_f1"):
-        rows.append(prf.select(F.lit(m).alias("metric"), rnd(F.col(m)).alias("value")))
-    rows.append(base.select(F.lit("eval_ce_loss").alias("metric"), rnd(F.col("eval_ce_loss")).alias("value")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    rows = F.array(*[F.struct(F.lit(m).alias("metric"), rnd(F.col(m)).alias("value")) for m in one.columns])
+    return one.select(F.inline(rows))

@@ -12,11 +12,10 @@ from ..operators import assemble as A
 from ..operators import qa as QA
 from . import plan_chunking as PC
 from . import plan_qa as PQ
-from ..functions.indexing import reliable_checkpoint
 from ..session import checkpoint_dir
 from .registry import query, table
 
-V, MAXLEN, BATCH = 5000, 64, 16
+V, MAXLEN, BATCH = 32000, 1024, 16
 
 
 def qa_text(spark, sf):
@@ -84,28 +83,30 @@ enc AS (SELECT ds.id, CAST(coalesce(len(g.ids), 0) AS BIGINT) AS length,
 """
 
 
-def encoded(spark, sf):
-    # Read twice (vocabulary, then encoding): cut the lineage once.
-    ds = reliable_checkpoint(dataset(spark, sf))
-    vocab = A.build_vocab(ds, "text", V)
-    return A.encode(ds, "text", ["id"], vocab, MAXLEN, mask_padding=True)
+def vocabulary_and_texts(spark, sf):
+    ds = dataset(spark, sf)
+    return A.build_vocab(ds, "text", V), ds
 
 
 @query("d5_encode", ENC_SQL + "SELECT id, length, input_ids, labels FROM enc", bench=True)
 def d5(spark, sf):
-    e = encoded(spark, sf)
+    vocab, ds = vocabulary_and_texts(spark, sf)
+    e = A.encode(ds, "text", ["id"], vocab, MAXLEN, mask_padding=True)
     return e.select("id", "length", F.array_join("input_ids", " ").alias("input_ids"),
                     F.array_join("labels", " ").alias("labels"))
 
 
-@query("d6_batch_padding", ENC_SQL + f""", r AS (SELECT enc.id, length,
-  row_number() OVER (ORDER BY md5('3407|' || enc.id), enc.id) - 1 AS rank FROM enc),
-b AS (SELECT id, CAST(floor(rank / {BATCH}) AS BIGINT) AS batch, length FROM r)
-SELECT id, batch, CAST(ceil(max(length) OVER (PARTITION BY batch) / 8) * 8 AS BIGINT) AS padded_len FROM b""")
+@query("d6_batch_padding", ENC_SQL + f""", r AS (SELECT ds.id, coalesce(g.ids, []) AS ids,
+  row_number() OVER (ORDER BY md5('3407|' || ds.id), ds.id) - 1 AS rank FROM ds LEFT JOIN g USING (id)),
+b AS (SELECT id, ids, CAST(floor(rank / {BATCH}) AS BIGINT) AS batch FROM r),
+w AS (SELECT id, ids, batch, CAST(ceil(max(len(ids)) OVER (PARTITION BY batch) / 8) * 8 AS BIGINT) AS padded_len FROM b)
+SELECT id, batch, padded_len, trim(array_to_string(ids, ' ') || repeat(' 2', CAST(padded_len - len(ids) AS INTEGER))) AS input_ids,
+  trim(array_to_string(ids, ' ') || repeat(' -100', CAST(padded_len - len(ids) AS INTEGER))) AS labels FROM w""")
 def d6(spark, sf):
-    e = encoded(spark, sf).select("id", "length")
-    ranked = A.seeded_order(e, ["id"], 3407)
-    return A.batch_padding(ranked, "rank", "length", BATCH).select("id", "batch", "padded_len")
+    vocab, ds = vocabulary_and_texts(spark, sf)
+    ranked = A.seeded_order(A.encode_ids(ds, "text", ["id"], vocab, MAXLEN).select("id", "ids"), ["id"], 3407)
+    out = A.batch_padding(ranked, "rank", "ids", BATCH)
+    return out.select("id", "batch", "padded_len", F.array_join("input_ids", " ").alias("input_ids"), F.array_join("labels", " ").alias("labels"))
 
 
 @query("d7_median_length", WITH_DS + "SELECT source, CAST(median(length(text)) AS DOUBLE) AS median_length "
@@ -114,9 +115,10 @@ def d7(spark, sf):
     return A.median_length(dataset(spark, sf), "text", ["source"])
 
 
-@query("d8_max_encoded_length", ENC_SQL + "SELECT CAST(max(length) AS BIGINT) AS max_length FROM enc")
+@query("d8_max_encoded_length", WITH_DS + f"SELECT CAST(max(len(regexp_extract_all(text, '{A.TOKEN_RE}'))) AS BIGINT) AS max_length FROM ds")
 def d8(spark, sf):
-    return A.max_encoded_length(encoded(spark, sf), length="length")
+    """Before the cut, so that it says which limit is needed."""
+    return A.max_encoded_length(dataset(spark, sf).select(A.tokenize("text").alias("tokens")), "tokens")
 
 
 @query("d9_length_classes", f"""SELECT CASE WHEN length(answer) > 1000 THEN 'more_than_1000'
@@ -129,19 +131,31 @@ def d9(spark, sf):
 F6_SQL = f"SELECT * FROM ({PQ.Q1_SQL}) WHERE length(question) <= 1500 AND length(answer) <= 4000"
 
 
-def _hist_sql(src, stage):
-    return f"""SELECT '{stage}' AS stage, CAST(least(floor((length(answer) - lo) * 50 / greatest(hi - lo, 1)), 49) AS BIGINT) AS bin,
-  CAST(count(*) AS BIGINT) AS n FROM ({src}), (SELECT min(length(answer)) AS lo, max(length(answer)) AS hi FROM ({src}))
+def _hist_sql(src, column, stage):
+    return f"""SELECT '{stage}' AS stage, CAST(least(floor((length({column}) - lo) * 50 / greatest(hi - lo, 1)), 49) AS BIGINT) AS bin,
+  CAST(count(*) AS BIGINT) AS n FROM ({src}), (SELECT min(length({column})) AS lo, max(length({column})) AS hi FROM ({src}))
   GROUP BY 1, 2"""
 
 
-@query("d10_length_histograms", _hist_sql(PQ.Q1_SQL, "before") + " UNION ALL " + _hist_sql(F6_SQL, "after"))
+_STEP1_SQL = f"SELECT * FROM ({PQ.Q1_SQL}) WHERE length(question) <= 1500"
+
+
+@query("d10_length_histograms", " UNION ALL ".join([
+    _hist_sql(PQ.Q1_SQL, "question", "context_before"), _hist_sql(_STEP1_SQL, "question", "context_after"),
+    _hist_sql(_STEP1_SQL, "answer", "response_before"), _hist_sql(F6_SQL, "answer", "response_after")]))
 def d10(spark, sf):
+    """The four histograms: context before and after its filter, response of
+    what is left before and after its own."""
     pairs = QA.qa_pairs(PQ.qa_blocks(spark, sf))
-    kept = A.cascade_length_filters(pairs, "question", "answer")
-    before = A.length_histogram(pairs, "answer").select(F.lit("before").alias("stage"), "bin", "n")
-    after = A.length_histogram(kept, "answer").select(F.lit("after").alias("stage"), "bin", "n")
-    return before.unionByName(after)
+    first = pairs.where(F.length("question") <= 1500)
+    both = A.cascade_length_filters(pairs, "question", "answer")
+    stages = [("context_before", pairs, "question"), ("context_after", first, "question"),
+              ("response_before", first, "answer"), ("response_after", both, "answer")]
+    out = None
+    for name, df, column in stages:
+        h = A.length_histogram(df, column).select(F.lit(name).alias("stage"), "bin", "n")
+        out = h if out is None else out.unionByName(h)
+    return out
 
 
 @query("f6_length_filters", "SELECT conv_id, block_idx FROM (" + F6_SQL.replace(

@@ -43,9 +43,25 @@ def test_encode_truncate_pad_and_batches(spark):
     assert list(enc["a"]["input_ids"]) == [3, 0, 0] and enc["a"]["length"] == 3
     assert list(enc["b"]["input_ids"]) == [2, 2, 2] and list(enc["b"]["labels"]) == [-100, -100, -100]
     assert list(enc["c"]["input_ids"]) == [1, 3, 4]
-    lens = spark.createDataFrame([(i, l) for i, l in enumerate([3, 9, 1, 17, 2])], "rank bigint, length bigint")
-    pad = {r["rank"]: r["padded_len"] for r in A.batch_padding(lens, "rank", "length", 2).collect()}
-    assert pad == {0: 16, 1: 16, 2: 24, 3: 24, 4: 8}
+    lens = spark.createDataFrame([(i, list(range(10, 10 + n))) for i, n in enumerate([3, 9, 0, 17, 2])], "rank bigint, ids array<int>")
+    rows = {r["rank"]: r for r in A.batch_padding(lens, "rank", "ids", 2).collect()}
+    assert {k: r["padded_len"] for k, r in rows.items()} == {0: 16, 1: 16, 2: 24, 3: 24, 4: 8}
+    assert list(rows[0]["input_ids"]) == [10, 11, 12] + [2] * 13 and list(rows[0]["labels"]) == [10, 11, 12] + [-100] * 13
+    assert all(len(r["input_ids"]) == len(r["labels"]) == r["padded_len"] for r in rows.values())
+
+
+def test_encode_ids_by_lookup_and_by_join(spark, monkeypatch):
+    df = spark.createDataFrame([("a", "x y z x"), ("b", ""), ("c", None), ("d", "q " * 50)], "id string, text string")
+    vocab = A.build_vocab(df, "text", 3)
+    looked = {r["id"]: (r["length"], list(r["ids"] or [])) for r in A.encode_ids(df, "text", ["id"], vocab, 5).collect()}
+    assert looked["a"][0] == 4 and looked["d"] == (50, looked["d"][1]) and len(looked["d"][1]) == 5
+    monkeypatch.setattr(A, "MAX_VOCABULARY", 2)
+    assert looked == {r["id"]: (r["length"], list(r["ids"] or [])) for r in A.encode_ids(df, "text", ["id"], vocab, 5).collect()}
+    plan = A.encode(df, "text", ["id"], vocab, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan
+    monkeypatch.undo()
+    plan = A.encode(df, "text", ["id"], vocab, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
 
 
 def test_histogram_and_classes(spark):

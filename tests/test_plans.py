@@ -24,11 +24,18 @@ def test_scan_pruned_and_codegen(spark):
     assert re.search(r"FileScan parquet \[doc_id#\d+L,text#\d+\]", plan)   # only the two needed columns
 
 
-def test_vocabulary_is_broadcast(spark):
+def test_encode_is_narrow(spark):
     from quillspark.operators import assemble as A
     df = spark.createDataFrame([("a", "x y"), ("b", "y z")], "id string, text string")
-    enc = A.encode(df, "text", ["id"], A.build_vocab(df, "text", 10), 4)
-    assert "BroadcastHashJoin" in _plan(enc) or "BroadcastExchange" in _plan(enc)
+    plan = _plan(A.encode(df, "text", ["id"], A.build_vocab(df, "text", 10), 4))
+    assert "Exchange" not in plan and "Generate" not in plan
+
+
+def test_exact_split_is_one_comparison(spark):
+    from quillspark.operators import assemble as A
+    df = spark.range(100).select(F.col("id").cast("string").alias("id"), F.lit("text").alias("text"))
+    out = A.split_exact(df, ["id"], 0.1)
+    assert "Exchange" not in _plan(out) and out.where("split = 'test'").count() == 10
 
 
 def test_hash_split_is_narrow(spark):
