@@ -4,13 +4,14 @@ A document is its set of hashed word n-grams. Documents with equal sets are
 folded first. A run splits the sets on sampled shared tokens: token ``t`` of
 ``x`` is chosen if its seeded hash falls below ``RATE / (threshold * |x|)``,
 so two sets at the threshold choose about ``RATE`` tokens in common whatever
-their sizes. A bucket of one token that is still large is split again on the
-next level's chosen tokens, and so on; small buckets are compared pair by
-pair on the chosen tokens they carry, which only yields a spanning forest of
-plausible pairs. Runs are repeated until a pair at the threshold is missed
-with at most ``1 - RECALL``. The connected parts of the forest are then
-verified exactly, all pairs of a part in one task, or in blocks of it where it
-is large; only counts and forest edges leave a task, never all pairs.
+their sizes. Runs are repeated until a pair at the threshold is missed with
+at most ``1 - RECALL``. A bucket that is still large is split again, each
+member going on with the least of its chosen tokens under a hash seeded by
+the path so far, which keeps one path per member and level. Small buckets are
+compared pair by pair on short sketches, which only yields a spanning forest
+of plausible pairs. The connected parts of the forest are then verified
+exactly, all pairs of a part in one task, or in blocks of it where it is
+large; only counts and forest edges leave a task, never all pairs.
 """
 
 from __future__ import annotations
@@ -27,9 +28,11 @@ from . import textscan as ts
 from .common import documents, id_key, stored
 
 RATE = 3.0
+SKETCH_RATE = 24.0             # further tokens in common, for the sketch alone
 LEVELS = 4
 RECALL = 0.99999
 SMALL = 64                     # members of a bucket that is compared
+MAX_BROADCAST = 500_000        # ids (40 bytes each) that are broadcast; beyond it they are shuffled
 BLOCK = 1024                   # sets of a block of a part that is verified
 
 
@@ -51,7 +54,14 @@ def set_id(s: np.ndarray) -> bytes:
 
 
 def _sketch(n: int, threshold: float, runs: int):
-    seeds = ts.mix(np.arange(1, runs * LEVELS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    """``doc_id, th, sid, n``, the chosen tokens of all runs, and 16 bits of
+    each of them and of the sketch's own tokens."""
+    seeds = ts.mix(np.arange(1, runs + 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+    def below(s, seed, rate):
+        limit = min(rate / (threshold * max(len(s), 1)), 1.0)
+        t = ts.mix(s ^ seed)
+        return t[t <= np.uint64(min(int(limit * 2.0**64), 2**64 - 1))]
 
     def scan(batches):
         for batch in batches:
@@ -60,34 +70,30 @@ def _sketch(n: int, threshold: float, runs: int):
                 u = ts.cut(texts.slice(lo, hi - lo))
                 h = u.hashes()
                 grams = ts.ngrams(h, n)
-                ids, sizes, chosen = [], [], []
+                ids, sizes, chosen, sketch = [], [], [], []
                 for i in range(hi - lo):
                     s = shingles(u, h, i, grams, n)
                     ids.append(set_id(s))
                     sizes.append(len(s))
-                    limit = min(RATE / (threshold * max(len(s), 1)), 1.0)
-                    bound = np.uint64(min(int(limit * 2.0**64), 2**64 - 1))
-                    own = []
-                    for seed in seeds:
-                        t = ts.mix(s ^ seed)
-                        own.append(t[t <= bound].view(np.int64))
-                    chosen.append(own)
+                    own = np.concatenate([below(s, seed, RATE) for seed in seeds[:-1]])
+                    chosen.append(own.view(np.int64))
+                    sketch.append(np.concatenate([own, below(s, seeds[-1], SKETCH_RATE)]).astype("<u2").tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()),
-                     pa.array(chosen, pa.list_(pa.list_(pa.int64())))], names=["doc_id", "th", "sid", "n", "chosen"])
+                     pa.array(chosen, pa.list_(pa.int64())), pa.array(sketch, pa.binary())], names=["doc_id", "th", "sid", "n", "chosen", "sketch"])
     return scan
 
 
-def _plausible(a: list, b: list, na: int, nb: int, threshold: float, draws: int) -> bool:
-    """Whether two sets share about as many chosen tokens as sets at the
+def _plausible(a: set, b: set, na: int, nb: int, threshold: float, runs: int) -> bool:
+    """Whether two sets share about as many sampled tokens as sets at the
     threshold do; a third of that is allowed, missed once in a million."""
     if min(na, nb) < threshold * max(na, nb):
         return False
-    expected = draws * min(RATE, threshold * max(na, nb))
-    return len(a.intersection(b)) >= expected / 3
+    most = threshold * max(na, nb)
+    return len(a & b) >= (runs * min(RATE, most) + min(SKETCH_RATE, most)) / 3
 
 
-def _forest(threshold: float, draws: int):
+def _forest(threshold: float, runs: int):
     """Spanning forests of the plausible pairs of each bucket; rows arrive sorted by bucket."""
     def edges(group: list) -> tuple[list, list]:
         group = list({g[0]: g for g in group}.values())
@@ -103,7 +109,7 @@ def _forest(threshold: float, draws: int):
         for i in range(len(group)):
             for j in range(i):
                 ri, rj = find(i), find(j)
-                if ri != rj and _plausible(group[i][2], group[j][2], group[i][1], group[j][1], threshold, draws):
+                if ri != rj and _plausible(group[i][2], group[j][2], group[i][1], group[j][1], threshold, runs):
                     root[max(ri, rj)] = min(ri, rj)
                     a.append(group[j][0])
                     b.append(group[i][0])
@@ -128,7 +134,7 @@ def _forest(threshold: float, draws: int):
                     b += y
                     group = []
                 bucket = key
-                group.append((sid, n, set(sketch)))
+                group.append((sid, n, set(np.frombuffer(sketch, "<u2").tolist())))
             yield out(a, b)
         if group:
             yield out(*edges(group))
@@ -136,32 +142,26 @@ def _forest(threshold: float, draws: int):
 
 
 def chosen_path_edges(sets: DataFrame, threshold: float, runs: int) -> DataFrame:
-    """Distinct plausible pairs ``a, b`` of ``sets`` (``sid, n, chosen``):
-    a spanning forest of every bucket of every run."""
-    level = None
-    for r in range(runs):
-        one = sets.select("sid", F.lit(r).alias("run"), F.explode(F.element_at("chosen", r * LEVELS + 1)).alias("path"))
-        level = one if level is None else level.unionByName(one)
-    small, stars = [], None
+    """Distinct plausible pairs ``a, b`` of ``sets`` (``sid, n, chosen,
+    sketch``): a spanning forest of every bucket of every run."""
+    level = sets.select("sid", F.explode("chosen").alias("path"))        # hashes of different runs differ
+    small, stars = None, None
     for k in range(LEVELS):
-        counts = level.groupBy("path").agg(F.count("*").alias("members"), F.min("sid").alias("least")).where("members > 1")
+        counts = level.groupBy("path").agg(F.count("*").alias("members")).where("members > 1")
         level = stored(level.join(counts, "path"), f"paths-{k}")
-        small.append(level.where(F.col("members") <= SMALL).select("path", "sid"))
-        large = level.where(F.col("members") > SMALL).select("path", "run", "sid", "least")
-        if k + 1 == LEVELS:
-            # Still large after every level: one part, for the exact step to take apart.
-            stars = large.where("sid != least").select(F.col("least").alias("a"), F.col("sid").alias("b"))
+        now = level.where(F.col("members") <= SMALL).select("path", "sid")
+        small = now if small is None else small.unionByName(now)
+        large = level.where(F.col("members") > SMALL).select("path", "sid")
+        if k + 1 < LEVELS:
+            token = F.expr("array_min(transform(chosen, t -> xxhash64(path, t)))")
+            level = large.join(sets.select("sid", "chosen"), "sid").select("sid", F.xxhash64("path", token).alias("path"))
         else:
-            nxt = F.expr(f"element_at(chosen, run * {LEVELS} + {k + 2})")
-            level = (large.join(sets.select("sid", "chosen"), "sid")
-                     .select("sid", "run", "path", F.explode(nxt).alias("token"))
-                     .select("sid", "run", F.xxhash64("path", "token").alias("path")))
-    buckets = small[0]
-    for s in small[1:]:
-        buckets = buckets.unionByName(s)
-    rows = (buckets.join(sets.select("sid", "n", F.flatten("chosen").alias("sketch")), "sid")
+            # Still large after every level: one part, for the exact step to take apart.
+            least = large.groupBy("path").agg(F.min("sid").alias("least"))
+            stars = large.join(least, "path").where("sid != least").select(F.col("least").alias("a"), F.col("sid").alias("b"))
+    rows = (small.join(sets.select("sid", "n", "sketch"), "sid")
             .select("path", "sid", "n", "sketch").repartition("path").sortWithinPartitions("path"))
-    edges = rows.mapInArrow(_forest(threshold, runs * LEVELS), "a binary, b binary")
+    edges = rows.mapInArrow(_forest(threshold, runs), "a binary, b binary")
     return stored(edges.unionByName(stars).distinct(), "edges")
 
 
@@ -283,16 +283,18 @@ def _verify(threshold: float):
 def _classes(src: DataFrame, n: int, threshold: float, recall: float) -> DataFrame:
     """``doc_id, th, class_id, n_links, n_copies`` of ``src`` (``doc_id, text, th``)."""
     runs = runs_needed(recall)
-    sketch = stored(src.mapInArrow(_sketch(n, threshold, runs), "doc_id bigint, th bigint, sid binary, n bigint, chosen array<array<bigint>>"), "sketches")
+    sketch = stored(src.mapInArrow(_sketch(n, threshold, runs), "doc_id bigint, th bigint, sid binary, n bigint, chosen array<bigint>, sketch binary"), "sketches")
     filled = sketch.where("n > 0")
-    fold = stored(filled.groupBy("sid").agg(F.min("doc_id").alias("least"), F.min(id_key()).alias("key"), F.count("*").alias("copies")), "folded")
-    # One row of each set, whichever: equal sets have equal n and chosen.
-    reps = stored(filled.join(fold.select("sid", F.col("key").alias("k")), "sid").where(id_key() == F.col("k")).select("sid", "n", "chosen")
-                  .dropDuplicates(["sid"]), "sets")
-    parts = components(chosen_path_edges(reps, threshold, runs))
+    # Equal sets have equal n, chosen and sketch.
+    fold = stored(filled.groupBy("sid").agg(F.min("doc_id").alias("least"), F.min(id_key()).alias("key"), F.count("*").alias("copies"),
+                                            *[F.any_value(c).alias(c) for c in ("n", "chosen", "sketch")]), "folded")
+    parts = components(chosen_path_edges(fold.select("sid", "n", "chosen", "sketch"), threshold, runs))
     sized = stored(parts.join(parts.groupBy("part").agg(F.count("*").alias("size")), "part")
-                   .select(F.col("node").alias("sid"), "part", F.expr(f"(size + {BLOCK} - 1) div {BLOCK}").alias("blocks")), "parts")
-    want = sized.join(fold.select("sid", "key"), "sid").select("key", "sid", "part")
+                   .select(F.col("node").alias("sid"), "part", F.expr(f"(size + {BLOCK} - 1) div {BLOCK}").alias("blocks"))
+                   .join(fold.select("sid", "key"), "sid"), "parts")
+    want = sized.select("key", "sid", "part")
+    if sized.count() <= MAX_BROADCAST:
+        want = F.broadcast(want)
     found = src.withColumn("key", id_key()).join(want, "key").select("text", "sid", "part").mapInArrow(_sets(n), "sid binary, part binary, tokens array<bigint>")
     placed = (found.join(sized.select("sid", "blocks"), "sid")
               .withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")))
