@@ -94,6 +94,7 @@ class Ctx:
     tools: list | None = None
     date_string: str = LLAMA31_DATE
     tools_in_user_message: bool = True
+    builtin_tools: list | None = None
 
 
 # --------------------------------------------------------------------------
@@ -254,13 +255,15 @@ QWEN_TOOLS_TAIL = ("\n</tools>\n\nFor each function call, return a json object w
 
 
 def body_llama31(msgs, ctx, has_tool_calls: bool = False):
+    builtin = ctx.builtin_tools
     m0 = F.get(msgs, 0)
     sys_first = _is_sys(m0)
     system_text = F.when(sys_first, _content(m0)).otherwise(L(ctx.system or ""))
     rest = F.when(sys_first, _rest(msgs, 1)).otherwise(msgs)
     tools_json = "".join(json.dumps(t, ensure_ascii=False, indent=4) + "\n\n" for t in (ctx.tools or []))
     head = L(ctx.bos + "<|start_header_id|>system<|end_header_id|>\n\n"
-             + ("Environment: ipython\n" if ctx.tools is not None else "")
+             + ("Environment: ipython\n" if ctx.tools is not None or builtin is not None else "")
+             + ("Tools: " + ", ".join(t for t in builtin if t != "code_interpreter") + "\n\n" if builtin is not None else "")
              + "Cutting Knowledge Date: December 2023\n"
              + "Today Date: " + ctx.date_string + "\n\n"
              + (LLAMA31_TOOLS_SYS + tools_json if ctx.tools is not None and not ctx.tools_in_user_message else ""))
@@ -281,10 +284,17 @@ def body_llama31(msgs, ctx, has_tool_calls: bool = False):
         if not has_tool_calls:
             return F.when(is_tool, tool).otherwise(plain)
         tc = m["tool_calls"]
+        name, arguments = F.get(tc, 0)["name"], F.get(tc, 0)["arguments"]
+        body = F.concat(L('{"name": "'), name, L('", "parameters": '), arguments, L("}"))
+        if builtin:
+            # Built-in tools are called in code: name.call(argument="value", ...)
+            values = F.map_entries(F.from_json(arguments, "map<string,string>"))
+            code = F.concat(L("<|python_tag|>"), name, L(".call("),
+                            F.array_join(F.transform(values, lambda e: F.concat(e["key"], L('="'), e["value"], L('"'))), ", "), L(")"))
+            body = F.when(name.isin(*builtin), code).otherwise(body)
+        end = L("<|eot_id|>" if builtin is None else "<|eom_id|>")
         call = F.when(F.size(tc) != 1, _raise("a message may hold one tool call only")) \
-                .otherwise(F.concat(L('<|start_header_id|>assistant<|end_header_id|>\n\n{"name": "'),
-                                    F.get(tc, 0)["name"], L('", "parameters": '),
-                                    F.get(tc, 0)["arguments"], L("}<|eot_id|>")))
+                .otherwise(F.concat(L("<|start_header_id|>assistant<|end_header_id|>\n\n"), body, end))
         return F.when(tc.isNotNull(), call).when(is_tool, tool).otherwise(plain)
 
     parts.append(_join(rest, piece))
@@ -385,8 +395,10 @@ def resolve_system_message(name: str, system_message: str | None) -> str | None:
 def render(messages: Column | str, name: str, *, bos_token: str = "<s>", eos_token: str = "</s>",
            add_generation_prompt: bool = False, system_message: str | None = None,
            tools: list | None = None, date_string: str = LLAMA31_DATE,
-           tools_in_user_message: bool = True, messages_type=None) -> Column:
-    """Render a conversation Column with a named template."""
+           tools_in_user_message: bool = True, builtin_tools: list | None = None, messages_type=None) -> Column:
+    """Render a conversation Column with a named template.
+    ``builtin_tools`` (names, llama-3.1) are called in code form and end
+    tool-call messages with ``<|eom_id|>``."""
     if name not in TEMPLATE_NAMES:
         raise KeyError(f"unknown chat template {name!r}; known: {sorted(TEMPLATE_NAMES)}")
     key = TEMPLATE_NAMES[name]
@@ -394,7 +406,7 @@ def render(messages: Column | str, name: str, *, bos_token: str = "<s>", eos_tok
     msgs = F.col(messages) if isinstance(messages, str) else messages
     ctx = Ctx(bos=bos_token, eos=eos_token, system=resolve_system_message(name, system_message),
               gen=add_generation_prompt, tools=tools, date_string=date_string,
-              tools_in_user_message=tools_in_user_message)
+              tools_in_user_message=tools_in_user_message, builtin_tools=builtin_tools)
     if tpl.tool_aware:
         return tpl.body(msgs, ctx, has_tool_calls=_has_field(messages_type, "tool_calls"))
     return tpl.body(msgs, ctx)
@@ -425,9 +437,14 @@ def _fill(part: str, placeholder: str, c: Column) -> Column:
 def render_parts(messages: Column | str, system_part: str = V9_SYSTEM_PART,
                  input_part: str = V9_INPUT_PART, output_part: str = V9_OUTPUT_PART,
                  default_system_message: str | None = V9_DEFAULT_SYSTEM,
-                 eos_token: str | None = None) -> Column:
+                 eos_token: str | None = None, bos_token: str | None = None,
+                 add_generation_prompt: bool = False) -> Column:
     """V9: render with caller-given system / input / output parts.
 
+    ``bos_token`` comes first exactly once, whether or not the system part
+    holds it. ``add_generation_prompt`` ends with the output part up to its
+    placeholder.
+
     A first system message fills ``{SYSTEM}``; otherwise the default is used.
     Other roles than user / assistant raise. When ``eos_token`` is given and
     the output part does not contain it, it is appended (as the reference
@@ -435,19 +452,23 @@ def render_parts(messages: Column | str, system_part: str = V9_SYSTEM_PART,
     that starts with its placeholder is substituted normally.
     """
     msgs = F.col(messages) if isinstance(messages, str) else messages
+    tail = [L(output_part.partition("{OUTPUT}")[0])] if add_generation_prompt else []
     if eos_token and eos_token not in output_part:
         output_part = output_part + eos_token
+    lead = [L(bos_token)] if bos_token else []
+    if bos_token:
+        system_part = system_part.replace(bos_token, "", 1)
     body_of = lambda arr: _join(arr, lambda m: _ua(m, _fill(input_part, "{INPUT}", _content(m)),
                                                    _fill(output_part, "{OUTPUT}", _content(m))))
     if not system_part:
-        return body_of(msgs)
+        return F.concat(*lead, body_of(msgs), *tail)
     if "{SYSTEM}" in system_part and default_system_message is None:
         raise ValueError("a default system message is needed for a {SYSTEM} part")
     m0 = F.get(msgs, 0)
     default_head = system_part.replace("{SYSTEM}", default_system_message or "")
     head = F.when(_is_sys(m0), _fill(system_part, "{SYSTEM}", _content(m0))).otherwise(L(default_head))
     loop = F.when(_is_sys(m0), _rest(msgs, 1)).otherwise(msgs)
-    return _need_first(msgs, F.concat(head, body_of(loop)))
+    return _need_first(msgs, F.concat(*lead, head, body_of(loop), *tail))
 
 
 def render_trainer_v2(messages: Column | str) -> Column:

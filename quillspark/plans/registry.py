@@ -55,4 +55,4 @@ def load_all() -> dict[str, Query]:
     return REGISTRY
 
 
-PLAN_MODULES = ["plan_templates", "plan_chunking", "plan_chatlog", "plan_qa", "plan_assemble", "plan_convo", "plan_eval", "plan_charset", "plan_generate", "plan_similarity"]
+PLAN_MODULES = ["plan_templates", "plan_chunking", "plan_chatlog", "plan_qa", "plan_assemble", "plan_convo", "plan_eval", "plan_charset", "plan_generate", "plan_similarity", "plan_io"]
