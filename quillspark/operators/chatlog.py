@@ -8,8 +8,8 @@ JSON; ``messages_from_table`` from any table.
 Runs: messages are ordered by ``(date, pos)`` (a stable sort by date), grouped
 by calendar day, and consecutive messages of one sender inside a day merge
 into one line ``User: {sender} Msg: {texts joined by a space}``. The run
-assignment uses a global order (see ``functions.runs``), so one busy day is
-spread across many tasks; run texts are pre-aggregated map-side.
+assignment cuts busy days into time ranges (see ``functions.runs``), so one
+day is spread across many tasks; run texts are pre-aggregated map-side.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.indexing import LOCAL, PID
 from ..functions.pytext import py_strip
 from ..functions.runs import assign_runs
 
@@ -125,26 +124,23 @@ def filter_messages(msgs: DataFrame) -> DataFrame:
 
 def sender_runs(msgs: DataFrame, partition_key: list[str] | None = None,
                 num_partitions: int | None = None) -> DataFrame:
-    """``(day, run_no, run_idx, sender, n_msgs, text, first_pos)``.
+    """``(day, run_idx, sender, n_msgs, text, first_pos)``.
 
     ``partition_key`` (e.g. the export file) keeps separate exports apart.
+    ``num_partitions`` is the number of time ranges that split busy days
+    (twice the shuffle partitions by default).
     """
     pk = partition_key or []
     base = msgs.select(*pk, "pos", "date", "sender", "text").withColumn("day", F.to_date("date"))
-    runs = assign_runs(base, [*pk, "day", "date", "pos"], [*pk, "day", "sender"],
-                       num_partitions=num_partitions)
-    merged = runs.groupBy(*pk, "day", "run_no").agg(
-        F.first("sender").alias("sender"),
+    n = num_partitions or 2 * int(msgs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = assign_runs(base, [*pk, "day"], "date", "pos", "sender", n)
+    merged = runs.groupBy(*pk, "day", "run_idx").agg(
+        F.min("sender").alias("sender"),
         F.count(F.lit(1)).cast("bigint").alias("n_msgs"),
         F.min("pos").alias("first_pos"),
-        F.array_sort(F.collect_list(F.struct(F.col(PID), F.col(LOCAL), F.col("text")))).alias("_parts"))
-    # One row per day, from the (much smaller) merged runs.
-    first_of_day = merged.groupBy(*pk, "day").agg(F.min("run_no").alias("_day_first"))
-    return (merged.join(first_of_day, [*pk, "day"])
-                  .select(*pk, "day", "run_no", (F.col("run_no") - F.col("_day_first")).alias("run_idx"),
-                          "sender", "n_msgs",
-                          F.array_join(F.transform("_parts", lambda p: p["text"]), " ").alias("text"),
-                          "first_pos"))
+        F.array_sort(F.collect_list(F.struct("date", "pos", "text"))).alias("_parts"))
+    return merged.select(*pk, "day", "run_idx", "sender", "n_msgs",
+                         F.array_join(F.transform("_parts", lambda p: p["text"]), " ").alias("text"), "first_pos")
 
 
 def run_line(sender: Column, text: Column) -> Column:
@@ -156,24 +152,21 @@ def day_file_lines(runs: DataFrame, partition_key: list[str] | None = None) -> D
     """C4 / S7 rows: per day ``Date: YYYY-MM-DD``, a blank line, then one line
     per run; ``line_no`` orders them inside the day file."""
     pk = partition_key or []
-    days = runs.select(*pk, "day").distinct()
-    header = days.select(*pk, "day", F.lit(0).cast("bigint").alias("line_no"),
-                         F.concat(F.lit("Date: "), F.date_format("day", "yyyy-MM-dd")).alias("line"))
-    blank = days.select(*pk, "day", F.lit(1).cast("bigint").alias("line_no"), F.lit("").alias("line"))
-    body = runs.select(*pk, "day", (F.col("run_idx") + 2).cast("bigint").alias("line_no"),
-                       run_line(F.col("sender"), F.col("text")).alias("line"))
-    return header.unionByName(blank).unionByName(body)
+    # A day's first run brings the two lines above it.
+    head = F.array(F.struct(F.lit(0).cast("bigint").alias("line_no"), F.concat(F.lit("Date: "), F.date_format("day", "yyyy-MM-dd")).alias("line")),
+                   F.struct(F.lit(1).cast("bigint").alias("line_no"), F.lit("").alias("line")))
+    own = F.array(F.struct((F.col("run_idx") + 2).cast("bigint").alias("line_no"), run_line(F.col("sender"), F.col("text")).alias("line")))
+    return runs.select(*pk, "day", F.inline(F.when(F.col("run_idx") == 0, F.concat(head, own)).otherwise(own)))
 
 
 def counters(all_msgs: DataFrame, kept: DataFrame, runs: DataFrame) -> DataFrame:
     """Pipeline counters as ``(counter, value)`` rows: total messages,
-    kept messages, days, runs."""
-    def one(df, name, agg):
-        return df.agg(agg.cast("bigint").alias("value")).select(F.lit(name).alias("counter"), "value")
-    return (one(all_msgs, "total_messages", F.count(F.lit(1)))
-            .unionByName(one(kept, "kept_messages", F.count(F.lit(1))))
-            .unionByName(one(runs, "days", F.countDistinct("day")))
-            .unionByName(one(runs, "runs", F.count(F.lit(1)))))
+    kept messages, days, runs; one pass over each of the three tables."""
+    def rows(df, **aggs):
+        one = df.agg(*[a.cast("bigint").alias(n) for n, a in aggs.items()])
+        return one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("counter"), F.col(n).alias("value")) for n in aggs])))
+    return (rows(all_msgs, total_messages=F.count(F.lit(1))).unionByName(rows(kept, kept_messages=F.count(F.lit(1))))
+            .unionByName(rows(runs, days=F.countDistinct("day"), runs=F.count(F.lit(1)))))
 
 
 def runs_per_day(runs: DataFrame) -> DataFrame:

@@ -378,15 +378,14 @@ def test_a_broken_run_resumes_without_repeating_a_call(spark, tmp):
 
 
 def test_hot_day_is_spread_over_partitions(spark):
-    from quillspark.functions.indexing import PID, frozen_range_layout
+    from quillspark.functions.runs import BUCKET, with_time_bucket
     from quillspark.operators import chatlog as CL
     n = 20000
     df = spark.range(n).select(F.col("id").alias("pos"),
                                (F.lit(1_704_067_200) + F.col("id")).cast("timestamp").cast("timestamp_ntz").alias("date"),
                                (F.col("id") % 3).cast("string").alias("sender"), F.col("id").cast("string").alias("text"))
     df = df.withColumn("day", F.lit("2024-01-01").cast("date"))          # every message on one day
-    laid = frozen_range_layout(df, ["day", "date", "pos"], 8)
-    sizes = [r["count"] for r in laid.groupBy(PID).count().collect()]
+    sizes = [r["count"] for r in with_time_bucket(df, "date", 8).groupBy(BUCKET).count().collect()]
     assert len(sizes) == 8 and max(sizes) < 0.3 * n                    # not one task
     runs = CL.sender_runs(df.drop("day"), num_partitions=8)
     assert runs.count() == n                                          # senders alternate: every message is a run

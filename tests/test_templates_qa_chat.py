@@ -196,7 +196,7 @@ def test_runs_stitch_across_partitions(spark):
     df = spark.createDataFrame(rows, "pos bigint, sec bigint, sender string").select(
         "pos", F.timestamp_seconds("sec").cast("timestamp_ntz").alias("date"), "sender",
         F.col("pos").cast("string").alias("text"))
-    runs = CL.sender_runs(df, num_partitions=37).orderBy("run_no").collect()
+    runs = CL.sender_runs(df, num_partitions=37).orderBy("day", "run_idx").collect()
     # plain Python restatement
     import itertools
     from datetime import datetime, timezone
