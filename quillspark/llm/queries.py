@@ -71,7 +71,24 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=50256)
 
 
-@_query("op3_substring_dedup")
+@_query("op3_substring_dedup", """
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), win AS (
+  SELECT doc_id, p, words[p:p + 12] AS win FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 12)) AS p FROM w WHERE len(words) >= 13)
+), owner AS (
+  SELECT win, min(doc_id) AS first FROM win GROUP BY win
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(p, p + 12)) AS i FROM win JOIN owner USING (win) WHERE first < doc_id
+), one AS (
+  SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS i FROM w
+), kept AS (
+  SELECT o.doc_id, count(g.i) AS n_removed, string_agg(word, ' ' ORDER BY o.i) FILTER (WHERE g.i IS NULL) AS kept
+  FROM one o LEFT JOIN gone g ON g.doc_id = o.doc_id AND g.i = o.i GROUP BY o.doc_id
+)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept k ON k.doc_id = w.doc_id
+""")
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), window=13)
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -82,12 +99,54 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_classes(table(spark, sf_dir, "documents"), n=5, threshold=0.8)
 
 
-@_query("op5_quality_rules")
+@_query("op5_quality_rules", """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents
+), g AS (
+  SELECT doc_id, p, words[p:p + 2] AS gram FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 2)) AS p FROM d WHERE len(words) >= 3)
+), twice AS (
+  SELECT doc_id, p FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT i) AS n FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS i FROM twice) GROUP BY doc_id
+), f AS (
+  SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines,
+         length(regexp_replace(t, '[^A-Z]', '', 'g')) AS upper, length(regexp_replace(t, '[^a-z]', '', 'g')) AS lower
+  FROM d LEFT JOIN covered c ON c.doc_id = d.doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words AND 10 * n_symbols <= n_words AND word_chars BETWEEN 3 * n_words AND 10 * n_words
+       AND 2 * n_dup_lines <= n_lines AND upper <= 0.3 * (upper + lower) AS kept
+FROM f
+""")
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
-@_query("op6_decontamination")
+@_query("op6_decontamination", """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, k, w[p:p + k - 1] AS win
+  FROM (SELECT item_id, w, least(len(w), 10) AS k, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS p FROM b WHERE len(w) > 0)
+), pos AS (
+  SELECT doc_id, k, p, w[p:p + k - 1] AS win
+  FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS p FROM d, (SELECT DISTINCT k FROM win) WHERE len(w) >= k)
+), hit AS (
+  SELECT doc_id, p, pos.k, item_id FROM pos JOIN win ON win.k = pos.k AND win.win = pos.win
+), words AS (
+  SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(generate_series(p, p + k - 1)) AS i FROM hit) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
+""")
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
 
