@@ -156,7 +156,32 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@_query("op9_secret_scan")
+def _secrets_sql() -> str:
+    """Matches are marked with chr(1) and chr(2) in the text; the lengths of
+    the parts between the marks give their positions."""
+    letters = lambda word: "".join(f"[{c}{c.upper()}]" for c in word)
+    keys = "|".join([*map(letters, ("password", "passwd", "secret", "token")), letters("api") + "_?" + letters("key")])
+    quote = "[\"'']?"             # a single quote, doubled for the SQL literal
+    assign = f"({keys}){quote}\\x20*[:=]\\x20*{quote}([A-Za-z0-9+/_.=-]+)"
+    kinds = [("assign", assign, f"length(regexp_extract(hit, '{assign}', 2)) >= 12"), ("access", "AKIA[A-Z0-9]+", "length(hit) >= 18"), ("hex", "[0-9a-f]+", "length(hit) >= 16"),
+             ("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", "true"), ("web_token", "eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}", "true"),
+             ("url_login", "[a-z][a-z0-9+.-]{1,15}://[^\\s:/@]{1,64}:[^\\s:/@]{1,64}@", "true"), ("host_token", "gh[pousr]_[A-Za-z0-9]{36,}", "true")]
+    spans = []
+    for rank, (kind, pattern, keep) in enumerate(kinds):
+        spans.append(f"""SELECT doc_id, '{kind}' AS kind, {rank} AS rank, CAST(start AS BIGINT) AS start, CAST(start + length(hit) AS BIGINT) AS stop FROM (
+  SELECT doc_id, i, CASE WHEN i > 1 THEN part[1:strpos(part, chr(2)) - 1] END AS hit,
+         coalesce(sum(length(part) - CASE WHEN i > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS i
+        FROM (SELECT doc_id, string_split(regexp_replace(t, '{pattern}', chr(1) || '\\0' || chr(2), 'g'), chr(1)) AS parts FROM d)))
+  WHERE i > 1 AND {keep}""")
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), s AS ({' UNION ALL '.join(spans)}),
+a AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+  string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (WHERE rank < 3) AS base, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS every FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+FROM d LEFT JOIN a ON a.doc_id = d.doc_id"""
+
+
+@_query("op9_secret_scan", _secrets_sql())
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
 
