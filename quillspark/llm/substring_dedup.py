@@ -6,15 +6,19 @@ small shards that only hold what can match: every window of ``window`` words
 has a key, the least hash of the ``GRAM``-word runs in it, and equal windows
 have equal keys. Keys that occur once are dropped by a count. Of the rest, a
 document's consecutive windows with one key are a segment, and a shard is the
-distinct segments of one key. Each shard's suffix automaton is built in
-document order and the segments are streamed through it; the matching
-statistics tell, for every place where a match of ``window`` words ends, the
-first document that has it. Documents join their segments' answers, and
-words under a window that an earlier document has are removed.
+segments of one key. Each shard's suffix automaton is built in document order
+and the segments are streamed through it; the matching statistics tell, for
+every place where a match of ``window`` words ends, the first document that
+has it. Words under a window that an earlier document has are removed.
 
 Keys found in many rows (passages that a large part of all documents share)
-are split further: their segments fall into single windows that are counted
-by content, combined before the shuffle. So no shard exceeds ``HOT`` rows.
+make no shard: their segments fall into single windows, whose first document
+is an aggregate by content, combined before the shuffle. So no shard exceeds
+``HOT`` rows. Of equal texts only that of the least id is searched; the others
+are its copies as a whole.
+
+Texts are shuffled once, compressed, by a hash of their content: finding the
+segments and removing the words read the same exchange.
 """
 
 from __future__ import annotations
@@ -25,18 +29,21 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textscan as ts
-from .common import documents, stored
+from .common import documents
 from .line_dedup import LAST, runs
 
 WINDOW = 13
 GRAM = 4
 HOT = 64
 _SEGMENT = 32                  # windows of one segment at most
+_SHIFT = np.uint64(16)         # keys of 48 bits: a chance meeting only costs a comparison
+_RUN_BITS = 6                  # a run of windows is its first one and its length in one number
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -99,120 +106,174 @@ class FirstOwners:
         return out
 
 
-def _window_keys(u: ts.Units, window: int) -> tuple[np.ndarray, np.ndarray]:
+def _window_keys(u: ts.Units, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     h = u.hashes()
-    keys = ts.sliding_min(ts.ngrams(h, GRAM), window - GRAM + 1)
-    return keys, ts.inside(u, window)
+    keys = ts.sliding_min(ts.ngrams(h, GRAM), window - GRAM + 1) >> _SHIFT
+    return h, keys, ts.inside(u, window)
 
 
 def _keys(window: int):
-    """Keys of each document, one row per run of windows."""
+    """Keys of each text (``text, dkey``), one row per run of windows."""
     def scan(batches):
         for batch in batches:
-            texts = ts.plain(batch.column(1))
+            texts = ts.plain(batch.column(0))
             for lo, hi in ts.slices(texts):
                 u = ts.cut(texts.slice(lo, hi - lo))
-                keys, valid = _window_keys(u, window)
+                _, keys, valid = _window_keys(u, window)
                 start, _ = runs(keys, valid, 1 << 40)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[start].view(np.int64)), batch.column(2).take(pa.array(u.owners()[start] + lo))], names=["fp", "dkey"])
+                    [pa.array(keys[start].view(np.int64)), batch.column(1).take(pa.array(u.owners()[start] + lo))], names=["fp", "dkey"])
     return scan
 
 
-def _segments(window: int):
-    """Segments of the keys that were found more than once (``fps`` and ``hots``)."""
+def _compress(batches):
+    """``doc_id, dkey, th, tg`` and the text, compressed one by one."""
+    pack = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        texts = batch.column(4)
+        z = pa.array([None if not t.is_valid else pack.compress(t.as_buffer()) for t in texts.cast(pa.binary())], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], z], names=["doc_id", "dkey", "th", "tg", "z"])
+
+
+def _texts(z: pa.Array) -> pa.Array:
+    unpack = zstandard.ZstdDecompressor()
+    return ts.plain(pa.array([b"" if x is None else unpack.decompress(x) for x in z.to_pylist()], pa.large_binary()).cast(pa.large_string()))
+
+
+def _segments(window: int, hot: bool):
+    """Segments of the keys (``keys``) that were found more than once, of the
+    first document of each text: their words, or for hot keys the hashes of
+    their windows."""
     def scan(batches):
         for batch in batches:
-            texts = ts.plain(batch.column(1))
+            wanted = pc.and_(pc.equal(batch.column("dkey"), batch.column("mind")),
+                                     pc.greater(pc.list_value_length(batch.column("keys")), 0))
+            batch = batch.filter(wanted)
+            texts = _texts(batch.column("z"))
             for lo, hi in ts.slices(texts):
                 u = ts.cut(texts.slice(lo, hi - lo))
-                keys, valid = _window_keys(u, window)
-                here = [np.unique(batch.column(c).slice(lo, hi - lo).flatten().to_numpy(zero_copy_only=False).view(np.uint64)) for c in (4, 5)]
-                isin = [np.isin(keys, x) for x in here]
-                start, size = runs(keys, valid & (isin[0] | isin[1]), _SEGMENT)
-                hot = isin[1][start]
+                h, keys, valid = _window_keys(u, window)
+                here = np.unique(batch.column("keys").slice(lo, hi - lo).flatten().to_numpy(zero_copy_only=False).view(np.uint64))
+                start, size = runs(keys, valid & np.isin(keys, here), _SEGMENT)
                 own = u.owners()[start]
-                view = u.data.tobytes()
-                words = [b" ".join(view[a:b].split()) for a, b in zip(u.start[start].tolist(), u.end[start + size + window - 2].tolist())]
+                if hot:
+                    content = ts.ngrams(h, window).view(np.int64)
+                    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+                    flat = np.repeat(start - offsets[:-1], size) + np.arange(int(offsets[-1]))
+                    body = pa.ListArray.from_arrays(pa.array(offsets), pa.array(content[flat]))
+                else:
+                    view = u.data.tobytes()
+                    body = pa.array([b" ".join(view[a:b].split()).decode() for a, b in zip(u.start[start].tolist(), u.end[start + size + window - 2].tolist())], pa.string())
                 take = pa.array(own + lo)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[start].view(np.int64)), pa.array(hot), pa.array([xxhash.xxh3_128_digest(w) for w in words], pa.binary()),
-                     pa.array(words, pa.binary()).cast(pa.string()), batch.column(2).take(take), batch.column(3).take(take),
-                     pa.array(start - u.first[own]), pa.array(size)],
-                    names=["fp", "hot", "seg", "words", "dkey", "th", "start", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[start].view(np.int64)), body, *[batch.column(c).take(take) for c in ("dkey", "tg")],
+                                                  pa.array(start - u.first[own])], names=["fp", "body", "dkey", "tg", "start"])
     return scan
 
 
 def _shards(window: int):
-    """First owners of the windows of each distinct segment; rows arrive sorted by key and owner."""
-    def answers(group: list) -> tuple[list, list]:
-        if len(group) == 1:
-            return [group[0][0]], [[group[0][2]] * group[0][3]]
-        auto, segs, owners = FirstOwners(), [], []
-        for seg, text, owner, _ in group:
+    """Windows of each segment that an earlier document has. Rows (``fp,
+    words, dkey, tg, start``) arrive sorted by key and document."""
+    def answers(group: list) -> list:
+        """First owners of the windows of each distinct segment, in order of its own first document."""
+        owners, auto = {}, FirstOwners()
+        distinct = {}
+        for words, owner, *_ in group:
+            distinct.setdefault(words, owner)
+        for text, owner in distinct.items():
             words = text.split(" ")
-            segs.append(seg)
-            owners.append([owner if x is None else x for x in auto.stream(words, window)])
+            if len(distinct) == 1:
+                owners[text] = [owner] * (len(words) - window + 1)
+                break
+            owners[text] = [owner if x is None else x for x in auto.stream(words, window)]
             auto.add(words, owner)
-        return segs, owners
+        out = []
+        for words, dkey, tg, start in group:
+            spans = []
+            for i, o in enumerate(owners[words]):
+                if o < dkey:
+                    if spans and spans[-1][0] + spans[-1][1] == start + i:
+                        spans[-1][1] += 1
+                    else:
+                        spans.append([start + i, 1])
+            if spans:
+                out.append((dkey, tg, [at << _RUN_BITS | n for at, n in spans]))
+        return out
+
+    def rows(out: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int32()),
+                                           pa.array([r[2] for r in out], pa.list_(pa.int64()))], names=["dkey", "tg", "runs"])
 
     def run(batches):
         key, group = None, []
         for batch in batches:
-            segs, owners = [], []
-            for fp, seg, text, owner, n in zip(*(c.to_pylist() for c in batch.columns)):
-                if fp != key and group:
-                    a, b = answers(group)
-                    segs += a
-                    owners += b
+            out = []
+            for fp, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if fp != key:
+                    if len(group) > 1:
+                        out += answers(group)
                     group = []
                 key = fp
-                group.append((seg, text, owner, n))
-            yield pa.RecordBatch.from_arrays([pa.array(segs, pa.binary()), pa.array([0] * len(segs), pa.int64()), pa.array(owners, pa.list_(pa.int64()))], names=["seg", "at", "owners"])
-        if group:
-            segs, owners = answers(group)
-            yield pa.RecordBatch.from_arrays([pa.array(segs, pa.binary()), pa.array([0] * len(segs), pa.int64()), pa.array(owners, pa.list_(pa.int64()))], names=["seg", "at", "owners"])
+                group.append(row)
+            yield rows(out)
+        if len(group) > 1:
+            yield rows(answers(group))
     return run
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``dkey, th, starts``: first words of the windows of each document that
-    an earlier document has; see :func:`substring_dedup`. ``docs`` has
-    ``doc_id, text, dkey, th``."""
-    keys = docs.mapInArrow(_keys(window), "fp bigint, dkey bigint")
+def _same_text(one: DataFrame, other: DataFrame):
+    """Equal text hashes. The second hash is compared in a form that is no
+    join key, so that ``th`` alone says where rows go."""
+    return (one["th"] == other["th"]) & (one["tg"].bitwiseXOR(other["tg"]) == 0)
+
+
+def _places(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """The compressed documents, and ``th, tg, mind, runs`` of each distinct
+    text: the least id that has it and its windows that a smaller id has.
+    ``docs`` has ``doc_id, dkey, th, tg, text``."""
+    packed = docs.select("doc_id", "dkey", "th", "tg", "text").mapInArrow(_compress, "doc_id bigint, dkey bigint, th bigint, tg int, z binary")
+    firsts = docs.groupBy("th", "tg").agg(F.min("dkey").alias("mind"))
+    keys = docs.select("text", "dkey").mapInArrow(_keys(window), "fp bigint, dkey bigint")
     shared = keys.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp", (F.col("n") > HOT).alias("hot"))
-    lists = (keys.join(shared, "fp").groupBy("dkey")
+    # The shared keys are distinct and the smaller side of each partition.
+    lists = (keys.join(shared.hint("shuffle_hash"), "fp").groupBy(F.col("dkey").alias("mind"))
              .agg(F.collect_set(F.when(~F.col("hot"), F.col("fp"))).alias("fps"), F.collect_set(F.when(F.col("hot"), F.col("fp"))).alias("hots")))
-    found = stored(docs.join(lists, "dkey").select("doc_id", "text", "dkey", "th", "fps", "hots")
-                   .mapInArrow(_segments(window), "fp bigint, hot boolean, seg binary, words string, dkey bigint, th bigint, start bigint, n bigint"), "segments")
-    distinct = found.groupBy("fp", "hot", "seg", "words", "n").agg(F.min("dkey").alias("owner"))
-    shards = distinct.where("not hot").select("fp", "seg", "words", "owner", "n").repartition("fp").sortWithinPartitions("fp", "owner", "seg")
-    cold = shards.mapInArrow(_shards(window), "seg binary, at bigint, owners array<bigint>")
-    single = (distinct.where("hot").select("seg", "owner", F.split("words", " ").alias("w"), F.explode(F.expr("sequence(0L, n - 1)")).alias("at"))
-              .select("seg", "at", "owner", F.concat_ws(" ", F.expr(f"slice(w, int(at) + 1, {window})")).alias("content")))
-    first = single.groupBy("content").agg(F.min("owner").alias("first"))
-    hot = single.join(first, "content").select("seg", "at", F.array("first").alias("owners"))
-    owners = cold.unionByName(hot)
-    later = (found.select("seg", "dkey", "th", "start").join(owners, "seg")
-             .select("dkey", "th", F.expr("filter(transform(owners, (o, i) -> if(o < dkey, start + at + i, -1)), x -> x >= 0)").alias("starts"))
-             .where("size(starts) > 0"))
-    return later.groupBy("dkey", "th").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))
+    wanted = firsts.join(lists, "mind")
+    # The text is partitioned by th, here and for the removal: one exchange serves both.
+    told = packed.join(wanted, _same_text(packed, wanted)).select("z", "dkey", packed["tg"], "mind", "fps", "hots")
+
+    def found(keys: str, kind: str) -> DataFrame:
+        return (told.select("z", "dkey", "tg", "mind", F.col(keys).alias("keys"))
+                .mapInArrow(_segments(window, keys == "hots"), f"fp bigint, body {kind}, dkey bigint, tg int, start bigint"))
+
+    shards = found("fps", "string").repartition("fp").sortWithinPartitions("fp", "dkey")
+    cold = shards.mapInArrow(_shards(window), "dkey bigint, tg int, runs array<bigint>")
+    single = (found("hots", "array<bigint>").select("fp", "dkey", "tg", "start", F.posexplode("body").alias("i", "content"))
+              .select("fp", "content", "dkey", "tg", (F.col("start") + F.col("i")).alias("at")))
+    first = single.groupBy("fp", "content").agg(F.min("dkey").alias("first"))
+    hot = (single.join(first, ["fp", "content"]).where("first < dkey")
+           .select("dkey", "tg", F.array(F.shiftleft("at", _RUN_BITS).bitwiseOR(1)).alias("runs")))
+    removed = (cold.unionByName(hot).groupBy(F.col("dkey").alias("mind"), "tg")
+               .agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs")))
+    return packed, firsts.join(removed, ["mind", "tg"], "left")
 
 
 def _apply(window: int):
     schema = "n_words bigint, n_removed bigint, kept string, kept_sha256 string"
 
     @F.pandas_udf(schema)
-    def apply(texts: pd.Series, starts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text, at in zip(texts, starts):
-            words = _WORD.findall(text) if text is not None else []
+    def apply(z: pd.Series, runs: pd.Series, copy: pd.Series) -> pd.DataFrame:
+        rows, unpack = [], zstandard.ZstdDecompressor()
+        for body, at, whole in zip(z, runs, copy):
+            words = _WORD.findall(unpack.decompress(body).decode()) if body is not None else []
             n = len(words)
-            if at is not None and n:
+            if whole and n >= window:
+                words = []
+            elif at is not None and n:
                 mark = np.zeros(n + 1, np.int64)
-                at = np.unique(np.asarray(at))
-                np.add.at(mark, at, 1)
-                np.add.at(mark, np.minimum(at + window, n), -1)
+                at = np.asarray(at, np.int64)
+                first, count = at >> _RUN_BITS, at & ((1 << _RUN_BITS) - 1)
+                np.add.at(mark, first, 1)
+                np.add.at(mark, np.minimum(first + count - 1 + window, n), -1)
                 stay = np.cumsum(mark[:n]) == 0
                 words = [w for w, s in zip(words, stay) if s]
             kept = " ".join(words)
@@ -235,8 +296,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     result; other columns are ignored.
     """
     keyed = (documents(docs.sparkSession, docs)
-             .select("doc_id", "text", F.coalesce("doc_id", F.lit(LAST)).alias("dkey"), F.xxhash64("text").alias("th")))
-    removed = repeated_windows(keyed, window)
-    joined = keyed.join(removed, ["dkey", "th"], "left")
-    return (joined.select("doc_id", _apply(window)(F.col("text"), F.col("starts")).alias("r"))
+             .select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("dkey"), F.xxhash64("text").alias("th"), F.hash("text").alias("tg"), "text"))
+    packed, places = _places(keyed, window)
+    joined = packed.join(places, _same_text(packed, places), "left")
+    return (joined.select("doc_id", _apply(window)(F.col("z"), F.col("runs"), F.col("dkey") > F.col("mind")).alias("r"))
             .select("doc_id", "r.n_words", "r.n_removed", "r.kept", "r.kept_sha256"))
