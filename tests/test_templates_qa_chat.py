@@ -305,3 +305,27 @@ def test_a_message_without_content_is_an_error(spark):
         spark.createDataFrame([([("system", None), ("user", "q")],)], t).select(TP.render("m", "qwen-2.5")).collect()
     none = spark.createDataFrame([(None,)], t).select(TP.render("m", "chatml").alias("t")).first()
     assert none["t"] is None
+
+
+def test_parts_template_begin_token_and_generation_prompt(spark):
+    t = "m array<struct<role:string,content:string>>"
+    df = spark.createDataFrame([([("user", "q"), ("assistant", "a")],)], t)
+
+    def text(**kw):
+        return df.select(TP.render_parts("m", "<B>S:{SYSTEM};", "U:{INPUT};", "A:{OUTPUT};", "sys", **kw).alias("t")).first()["t"]
+
+    assert text() == "<B>S:sys;U:q;A:a;"
+    assert text(bos_token="<B>") == "<B>S:sys;U:q;A:a;"                       # once, though the part holds it
+    assert text(bos_token="<X>") == "<X><B>S:sys;U:q;A:a;"
+    assert text(add_generation_prompt=True) == "<B>S:sys;U:q;A:a;A:"
+    assert df.select(TP.render_parts("m", "", "U:{INPUT};", "A:{OUTPUT};", bos_token="<B>", add_generation_prompt=True).alias("t")).first()["t"] == "<B>U:q;A:a;A:"
+
+
+def test_builtin_tool_calls(spark):
+    rows = [([("assistant", None, [("web", '{"query": "a b", "n": "2"}')]), ("assistant", None, [("get", '{"city": "X"}')]), ("user", "q", None)],)]
+    df = spark.createDataFrame(rows, T.StructType([T.StructField("m", TC_T)]))
+    col = TP.render("m", "llama-3.1", bos_token="", builtin_tools=["web", "code_interpreter"], system_message="", messages_type=TC_T)
+    text = df.select(col.alias("t")).first()["t"]
+    assert "Environment: ipython\nTools: web\n\nCutting Knowledge Date" in text
+    assert '<|python_tag|>web.call(query="a b", n="2")<|eom_id|>' in text
+    assert '{"name": "get", "parameters": {"city": "X"}}<|eom_id|>' in text
