@@ -32,9 +32,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2000              # whole texts are long rows
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ships the package and, unless the session says otherwise, hands
+    Python tasks texts in batches of ``BATCH_ROWS``."""
+    ship_package(spark)
+    if _BATCH not in spark.conf.getAll:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The two columns the operators read, whatever else ``docs`` holds."""
-    ship_package(spark)
+    prepare(spark)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 

@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
-from .common import documents, id_key, stored
+from .common import documents, id_key, prepare, stored
 
 N = 10
 MAX_BROADCAST_WINDOWS = 300_000
@@ -96,7 +95,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, n: int = N, remove: str = "
     Columns are kept as they are; documents without hits are unchanged. Nulls,
     repeated rows and empty tables are as in :func:`contamination_report`.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     hits = hit_words(docs, bench, n).select(F.col("dkey").alias("__qs_dkey"), F.col("th").alias("__qs_th"), F.col("hit").alias("__qs_hit"))
     text = F.col("text").cast("string")
     keyed = docs.withColumn("__qs_dkey", id_key()).withColumn("__qs_th", F.xxhash64(text))

@@ -14,7 +14,7 @@ import pyarrow as pa
 
 from . import textscan as ts
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 6 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
@@ -25,7 +25,9 @@ _UNSURE[[0xC2, 0xE1, 0xE2, 0xE3, *range(0x80, 0xC0)]] = True
 _LETTER, _STOP = np.zeros(256, bool), np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _STOP[[ord(c) for c in ",.;:!?"]] = True
-POOL_ENTRIES = 2_500_000       # the pool starts anew beyond this many pieces
+POOL_ENTRIES = 1_500_000       # the pool starts anew beyond this many pieces
+
+_LEARN = 20_000                # pieces given to the tokenizer at once
 
 _ENCODERS: dict = {}
 
@@ -80,10 +82,13 @@ class Encoder:
 
     def _learn(self, keys: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
         view = data.tobytes()
-        strings = [view[s:e].decode("utf-8") for s, e in zip(start.tolist(), end.tolist())]
-        ids = [e.ids for e in self._batch(strings, add_special_tokens=False)]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for row in ids for x in row), np.uint32, int(size.sum()))
+        sizes, flats = [], []
+        for lo in range(0, len(start), _LEARN):         # bounds the encoder's own objects
+            spans = zip(start[lo:lo + _LEARN].tolist(), end[lo:lo + _LEARN].tolist())
+            ids = [e.ids for e in self._batch([view[s:e].decode("utf-8") for s, e in spans], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flats.append(np.fromiter((x for row in ids for x in row), np.uint32, int(sizes[-1].sum())))
+        size, flat = np.concatenate(sizes), np.concatenate(flats)
         at = len(self.pool) + np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)
         self.pool = np.concatenate([self.pool, flat])
         place = np.searchsorted(self.keys, keys)        # both sorted

@@ -18,9 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
 from . import textscan as ts
-from .common import documents
+from .common import documents, prepare
 
 MIN_LINES = 3
 LAST = (1 << 63) - 1           # a null doc_id comes after all others
@@ -125,7 +124,7 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, before: str | None
     ``text`` replaced; ``before`` names a column for the input text if wanted
     (it must not be a column of ``docs``).
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     if before in docs.columns:
         raise ValueError(f"{before} is a column of the input")
     repeated = repeated_lines(docs, min_lines).select(F.col("dkey").alias("__qs_dkey"), F.col("th").alias("__qs_th"), F.col("starts").alias("__qs_starts"))

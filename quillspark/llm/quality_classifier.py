@@ -16,14 +16,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
 from . import textscan as ts
-from .common import documents
+from .common import documents, prepare
 
 MAX_POSITIVES = 8000           # bound of the trusted positives that are fitted
 MAX_UNLABELLED = 16000         # bound of the unlabelled texts that are fitted
@@ -123,13 +121,14 @@ def fit(positives: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
     for t in range(1, steps + 1):
-        zp, zu = xp @ w + b, xu @ w + b
+        w32 = w.astype(np.float32)                                 # one precision for the large products
+        zp, zu = (xp @ w32).astype(np.float64) + b, (xu @ w32).astype(np.float64) + b
         negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
         dp = -prior * sigmoid(-zp) / len(zp)                       # prior * R_p(+1)
         up, un = sigmoid(zu) / len(zu), -prior * sigmoid(zp) / len(zp)
         # Below zero the bracket is overfitted: step back along it.
         gp, gu = (dp + un, up) if negative >= 0 else (-un, -up)
-        g = np.concatenate([xp.T @ gp + xu.T @ gu + ridge * w, [gp.sum() + gu.sum()]])
+        g = np.concatenate([gp.astype(np.float32) @ xp + gu.astype(np.float32) @ xu + ridge * w, [gp.sum() + gu.sum()]])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
@@ -204,11 +203,14 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` whose score reaches ``threshold``, all columns kept;
     scored where they are read, without a shuffle."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     model = learn(docs, labels)
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(features(ts.plain(pa.array(texts, pa.large_string(), from_pandas=True)))))
+    at = docs.columns.index("text")
 
-    return docs.where(scored(F.col("text").cast("string")) >= threshold)
+    def good(batches):
+        for batch in batches:
+            texts = ts.plain(batch.column(at))
+            yield batch.filter(pa.array(model.scores(features(texts)) >= threshold))
+
+    return docs.mapInArrow(good, docs.schema)

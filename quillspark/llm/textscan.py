@@ -17,6 +17,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+# Freed Arrow buffers go back to the system; a worker lives through many tasks.
+pa.set_memory_pool(pa.system_memory_pool())
+
 SLICE_BYTES = 3 << 20
 _LONG = 64                     # units beyond this many bytes are hashed one by one
 
@@ -103,7 +106,8 @@ def plain(texts: pa.Array | pa.ChunkedArray) -> pa.Array:
     """As one large_string array without nulls (null becomes empty)."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    return pc.fill_null(texts.cast(pa.large_string()), "")
+    texts = texts.cast(pa.large_string())
+    return pc.fill_null(texts, "") if texts.null_count else texts
 
 
 def cut(texts: pa.Array, separators: np.ndarray = WORD_SEPARATORS) -> Units:

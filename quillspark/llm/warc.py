@@ -25,8 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
-from .common import fresh_folder, publishing, reader, stored
+from .common import fresh_folder, prepare, publishing, reader, stored
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.tsv"
 LEAST_PAYLOAD = 1000           # smaller payloads are never revisits
@@ -186,7 +185,7 @@ def write_packages(pages: DataFrame, folder: str) -> DataFrame:
     least 1000 bytes, those with the largest ``page_id`` are responses and
     the others revisits without payload; smaller payloads are responses.
     """
-    ship_package(pages.sparkSession)
+    prepare(pages.sparkSession)
     payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
     src = (pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
            .select("*", F.sha1("payload").alias("digest"), F.octet_length("payload").cast("long").alias("size")))
@@ -202,7 +201,7 @@ def write_packages(pages: DataFrame, folder: str) -> DataFrame:
 def read_packages(packages: DataFrame) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to`` of
     every record of the packages (column ``package``), each read by its range."""
-    ship_package(packages.sparkSession)
+    prepare(packages.sparkSession)
 
     def locate(batches):
         for batch in batches:
