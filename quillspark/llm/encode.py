@@ -25,7 +25,7 @@ _UNSURE[[0xC2, 0xE1, 0xE2, 0xE3, *range(0x80, 0xC0)]] = True
 _LETTER, _STOP = np.zeros(256, bool), np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _STOP[[ord(c) for c in ",.;:!?"]] = True
-POOL_ENTRIES = 1_500_000       # the pool starts anew beyond this many pieces
+POOL_ENTRIES = 800_000         # the pool starts anew beyond this many pieces
 
 _LEARN = 20_000                # pieces given to the tokenizer at once
 

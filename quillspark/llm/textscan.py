@@ -9,6 +9,7 @@ task's memory whatever the batch size; one very long document is a slice.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,8 +18,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-# Freed Arrow buffers go back to the system; a worker lives through many tasks.
+# A worker lives through many tasks: freed Arrow buffers go back to the
+# allocator, and after each batch the allocator's free pages to the system.
 pa.set_memory_pool(pa.system_memory_pool())
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 SLICE_BYTES = 3 << 20
 _LONG = 64                     # units beyond this many bytes are hashed one by one
@@ -147,6 +150,8 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         hi = min(max(hi, lo + 1), n)
         yield lo, hi
         lo = hi
+    if _trim is not None:
+        _trim(0)
 
 
 def ngrams(h: np.ndarray, k: int) -> np.ndarray:
