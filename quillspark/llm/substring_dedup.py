@@ -42,7 +42,7 @@ WINDOW = 13
 GRAM = 4
 HOT = 64
 _SEGMENT = 32                  # windows of one segment at most
-_SHIFT = np.uint64(16)         # keys of 48 bits: a chance meeting only costs a comparison
+_SHIFT = np.uint64(16)         # keys of 48 bits: a chance meeting only costs a comparison; hot windows are known by 48 + 48 bits
 _RUN_BITS = 6                  # a run of windows is its first one and its length in one number
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -128,7 +128,7 @@ def _keys(window: int):
 
 def _compress(batches):
     """``doc_id, dkey, th, tg`` and the text, compressed one by one."""
-    pack = zstandard.ZstdCompressor(level=3)
+    pack = zstandard.ZstdCompressor(level=6)
     for batch in batches:
         texts = batch.column(4)
         z = pa.array([None if not t.is_valid else pack.compress(t.as_buffer()) for t in texts.cast(pa.binary())], pa.binary())
@@ -157,7 +157,7 @@ def _segments(window: int, hot: bool):
                 start, size = runs(keys, valid & np.isin(keys, here), _SEGMENT)
                 own = u.owners()[start]
                 if hot:
-                    content = ts.ngrams(h, window).view(np.int64)
+                    content = (ts.ngrams(h, window) >> _SHIFT).view(np.int64)
                     offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
                     flat = np.repeat(start - offsets[:-1], size) + np.arange(int(offsets[-1]))
                     body = pa.ListArray.from_arrays(pa.array(offsets), pa.array(content[flat]))
@@ -165,14 +165,14 @@ def _segments(window: int, hot: bool):
                     view = u.data.tobytes()
                     body = pa.array([b" ".join(view[a:b].split()).decode() for a, b in zip(u.start[start].tolist(), u.end[start + size + window - 2].tolist())], pa.string())
                 take = pa.array(own + lo)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[start].view(np.int64)), body, *[batch.column(c).take(take) for c in ("dkey", "tg")],
-                                                  pa.array(start - u.first[own])], names=["fp", "body", "dkey", "tg", "start"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[start].view(np.int64)), body, *[batch.column(c).take(take) for c in ("dkey", "tag")],
+                                                  pa.array(start - u.first[own])], names=["fp", "body", "dkey", "tag", "start"])
     return scan
 
 
 def _shards(window: int):
     """Windows of each segment that an earlier document has. Rows (``fp,
-    words, dkey, tg, start``) arrive sorted by key and document."""
+    words, dkey, tag, start``) arrive sorted by key and document."""
     def answers(group: list) -> list:
         """First owners of the windows of each distinct segment, in order of its own first document."""
         owners, auto = {}, FirstOwners()
@@ -187,7 +187,7 @@ def _shards(window: int):
             owners[text] = [owner if x is None else x for x in auto.stream(words, window)]
             auto.add(words, owner)
         out = []
-        for words, dkey, tg, start in group:
+        for words, dkey, tag, start in group:
             spans = []
             for i, o in enumerate(owners[words]):
                 if o < dkey:
@@ -196,12 +196,12 @@ def _shards(window: int):
                     else:
                         spans.append([start + i, 1])
             if spans:
-                out.append((dkey, tg, [at << _RUN_BITS | n for at, n in spans]))
+                out.append((dkey, tag, [at << _RUN_BITS | n for at, n in spans]))
         return out
 
     def rows(out: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int32()),
-                                           pa.array([r[2] for r in out], pa.list_(pa.int64()))], names=["dkey", "tg", "runs"])
+                                           pa.array([r[2] for r in out], pa.list_(pa.int64()))], names=["dkey", "tag", "runs"])
 
     def run(batches):
         key, group = None, []
@@ -232,6 +232,9 @@ def _places(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     ``docs`` has ``doc_id, dkey, th, tg, text``."""
     packed = docs.select("doc_id", "dkey", "th", "tg", "text").mapInArrow(_compress, "doc_id bigint, dkey bigint, th bigint, tg int, z binary")
     firsts = docs.groupBy("th", "tg").agg(F.min("dkey").alias("mind"))
+    # Tells an id's texts apart where it has several; 0, which costs nothing, nearly everywhere.
+    several = firsts.groupBy("mind").agg(F.count("*").alias("texts")).where("texts > 1")
+    firsts = firsts.join(several, "mind", "left").withColumn("tag", F.when(F.col("texts").isNull(), 0).otherwise(F.col("tg"))).drop("texts")
     keys = docs.select("text", "dkey").mapInArrow(_keys(window), "fp bigint, dkey bigint")
     shared = keys.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp", (F.col("n") > HOT).alias("hot"))
     # The shared keys are distinct and the smaller side of each partition.
@@ -239,22 +242,22 @@ def _places(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
              .agg(F.collect_set(F.when(~F.col("hot"), F.col("fp"))).alias("fps"), F.collect_set(F.when(F.col("hot"), F.col("fp"))).alias("hots")))
     wanted = firsts.join(lists, "mind")
     # The text is partitioned by th, here and for the removal: one exchange serves both.
-    told = packed.join(wanted, _same_text(packed, wanted)).select("z", "dkey", packed["tg"], "mind", "fps", "hots")
+    told = packed.join(wanted, _same_text(packed, wanted)).select("z", "dkey", "tag", "mind", "fps", "hots")
 
     def found(keys: str, kind: str) -> DataFrame:
-        return (told.select("z", "dkey", "tg", "mind", F.col(keys).alias("keys"))
-                .mapInArrow(_segments(window, keys == "hots"), f"fp bigint, body {kind}, dkey bigint, tg int, start bigint"))
+        return (told.select("z", "dkey", "tag", "mind", F.col(keys).alias("keys"))
+                .mapInArrow(_segments(window, keys == "hots"), f"fp bigint, body {kind}, dkey bigint, tag int, start bigint"))
 
     shards = found("fps", "string").repartition("fp").sortWithinPartitions("fp", "dkey")
-    cold = shards.mapInArrow(_shards(window), "dkey bigint, tg int, runs array<bigint>")
-    single = (found("hots", "array<bigint>").select("fp", "dkey", "tg", "start", F.posexplode("body").alias("i", "content"))
-              .select("fp", "content", "dkey", "tg", (F.col("start") + F.col("i")).alias("at")))
+    cold = shards.mapInArrow(_shards(window), "dkey bigint, tag int, runs array<bigint>")
+    single = (found("hots", "array<bigint>").select("fp", "dkey", "tag", "start", F.posexplode("body").alias("i", "content"))
+              .select("fp", "content", "dkey", "tag", (F.col("start") + F.col("i")).alias("at")))
     first = single.groupBy("fp", "content").agg(F.min("dkey").alias("first"))
     hot = (single.join(first, ["fp", "content"]).where("first < dkey")
-           .select("dkey", "tg", F.array(F.shiftleft("at", _RUN_BITS).bitwiseOR(1)).alias("runs")))
-    removed = (cold.unionByName(hot).groupBy(F.col("dkey").alias("mind"), "tg")
+           .select("dkey", "tag", F.array(F.shiftleft("at", _RUN_BITS).bitwiseOR(1)).alias("runs")))
+    removed = (cold.unionByName(hot).groupBy(F.col("dkey").alias("mind"), "tag")
                .agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs")))
-    return packed, firsts.join(removed, ["mind", "tg"], "left")
+    return packed, firsts.join(removed, ["mind", "tag"], "left")
 
 
 def _apply(window: int):
