@@ -146,12 +146,12 @@ def encode_ids(df: DataFrame, text: str, keys: list, vocab: DataFrame, max_len:
     tokens = tokenize(text)
     cut = tokens if max_len is None else F.slice(tokens, 1, max_len)
     toks = df.select(*keys, F.size(tokens).cast("bigint").alias("length"), cut.alias("_qs_tokens"))
-    if vocab.count() > MAX_VOCABULARY:
+    known = vocab.orderBy("token_id").limit(MAX_VOCABULARY + 1).toArrow()      # one run of the vocabulary job
+    if known.num_rows > MAX_VOCABULARY:
         rows = toks.select(*keys, "length", F.posexplode_outer("_qs_tokens").alias("pos", "token")).join(vocab, "token", "left")
         item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("token_id", F.lit(unk)).alias("id")))
         grouped = rows.groupBy(*keys, "length").agg(F.array_sort(F.collect_list(item)).alias("_t"))
         return grouped.select(*keys, "length", F.transform("_t", lambda x: x["id"]).alias("ids"))
-    known = vocab.orderBy("token_id").toArrow()
     names = df.sparkSession.sparkContext.broadcast((known["token"].to_pylist(), known["token_id"].to_pylist()))
 
     def look_up(batches):

@@ -38,6 +38,7 @@ DEFAULT_SIZE = 2000
 CONTINUATION = " (продолжение)\n"
 
 _BLOCK = 256                   # entries of a finished block of an accumulator
+_LONG_PIECE = 500_000          # words of a piece whose starts are gathered in blocks
 
 
 def let(value: Column, body) -> Column:
@@ -82,25 +83,47 @@ def carry_forward(headers: Column) -> Column:
     return let(headers, fill)
 
 
+def exclusive_prefix_sum(counts: Column) -> Column:
+    """Sums of the values before each one; gathered in blocks, so that the
+    accumulator copied per step stays short."""
+    none = F.array().cast("array<bigint>")
+    init = F.struct(F.lit(0).cast("bigint").alias("s"), none.alias("block"), F.array().cast("array<array<bigint>>").alias("done"))
+
+    def step(acc, n):
+        full = F.size(acc["block"]) >= _BLOCK
+        return F.struct((acc["s"] + n).alias("s"),
+                        F.when(full, F.array(acc["s"])).otherwise(F.concat(acc["block"], F.array(acc["s"]))).alias("block"),
+                        F.when(full, F.concat(acc["done"], F.array(acc["block"]))).otherwise(acc["done"]).alias("done"))
+    return F.aggregate(counts, init, step, lambda acc: F.flatten(F.concat(acc["done"], F.array(acc["block"]))))
+
+
 def pack_break_starts(lengths: Column, size: int) -> Column:
     """T4 core: 0-based start index of every packed group of words, from word
-    lengths only (integer accumulator). Starts are gathered in blocks, so the
-    accumulator copied per step stays short however long the piece is."""
-    none = F.array().cast("array<int>")
-    init = F.struct(F.lit(0).alias("cur"), F.lit(0).alias("i"), F.array(F.lit(0)).alias("block"),
-                    F.array().cast("array<array<int>>").alias("done"))
+    lengths only (integer accumulator). In a very long piece the starts are
+    gathered in blocks, so the accumulator copied per break stays short."""
+    def over(acc, n):
+        return acc["cur"] + n + 1 > size
 
-    def step(acc, n):
-        over = acc["cur"] + n + 1 > size
-        brk = (acc["cur"] > 0) & over
+    def cur(acc, n):
+        return F.when(over(acc, n), n + 1).otherwise(acc["cur"] + n + 1).alias("cur")
+
+    def plain(acc, n):
+        starts = F.when((acc["cur"] > 0) & over(acc, n), F.concat(acc["starts"], F.array(acc["i"]))).otherwise(acc["starts"])
+        return F.struct(cur(acc, n), (acc["i"] + 1).alias("i"), starts.alias("starts"))
+
+    def blocked(acc, n):
+        brk = (acc["cur"] > 0) & over(acc, n)
         full = brk & (F.size(acc["block"]) >= _BLOCK)
-        block = F.when(full, none).otherwise(acc["block"])
         return F.struct(
-            F.when(over, n + 1).otherwise(acc["cur"] + n + 1).alias("cur"),
-            (acc["i"] + 1).alias("i"),
-            F.when(brk, F.concat(block, F.array(acc["i"]))).otherwise(acc["block"]).alias("block"),
+            cur(acc, n), (acc["i"] + 1).alias("i"),
+            F.when(full, F.array(acc["i"])).when(brk, F.concat(acc["block"], F.array(acc["i"]))).otherwise(acc["block"]).alias("block"),
             F.when(full, F.concat(acc["done"], F.array(acc["block"]))).otherwise(acc["done"]).alias("done"))
-    return F.aggregate(lengths, init, step, lambda acc: F.flatten(F.concat(acc["done"], F.array(acc["block"]))))
+
+    zero = [F.lit(0).alias("cur"), F.lit(0).alias("i")]
+    short = F.aggregate(lengths, F.struct(*zero, F.array(F.lit(0)).alias("starts")), plain, lambda acc: acc["starts"])
+    long = F.aggregate(lengths, F.struct(*zero, F.array(F.lit(0)).alias("block"), F.array().cast("array<array<int>>").alias("done")),
+                       blocked, lambda acc: F.flatten(F.concat(acc["done"], F.array(acc["block"]))))
+    return F.when(F.size(lengths) > _LONG_PIECE, long).otherwise(short)
 
 
 def _word_lengths(words: Column) -> Column:
@@ -146,15 +169,29 @@ def split_documents(docs: DataFrame, text: str = "text", keys: list | None = Non
                     restore_first: bool = False) -> DataFrame:
     """T6 over a table: one row per chunk ``(*keys, chunk_idx, chunk)``.
 
-    Narrow end to end (no shuffle): the numbered rows of
-    :func:`split_documents_arrays`. Every piece is split into words and
-    packed exactly once (``_piece_table``); the header carry-forward only
-    reads that array.
+    Narrow end to end (no shuffle). Every piece is split into words and
+    packed exactly once (``_piece_table``); the header carry-forward, the
+    chunk offsets and the explode only read that array.
     """
     keys = keys or [c for c in docs.columns if c != text]
-    arrays = split_documents_arrays(docs, text, keys, size, marker, stem, restore_first)
-    out = arrays.select(*[F.col(k) for k in keys], F.posexplode("chunks").alias("_k", "chunk"))
-    return out.select(*keys, F.col("_k").cast("bigint").alias("chunk_idx"), "chunk")
+    kc = [F.col(k) for k in keys]
+    stage1 = _piece_table(docs, text, kc, size, marker, stem, restore_first)
+    pp = F.col("_pp")
+    counts = F.transform(pp, lambda x: F.when(x["small"], F.when(x["nonblank"], F.lit(1)).otherwise(F.lit(0)))
+                         .otherwise(F.coalesce(F.size(x["starts"]), F.lit(0))).cast("bigint"))
+    per_piece = F.arrays_zip(
+        pp.alias("p"),
+        carry_forward(F.transform(pp, lambda x: article_header(x["piece"], stem))).alias("carried"),
+        exclusive_prefix_sum(counts).alias("offset"))
+    stage2 = stage1.select(*kc, F.explode(per_piece).alias("z")).select(
+        *kc, F.col("z.p.piece").alias("_piece"), F.col("z.p.small").alias("_small"),
+        F.col("z.p.nonblank").alias("_nonblank"), F.col("z.p.words").alias("_words"),
+        F.col("z.p.starts").alias("_starts"), F.col("z.carried").alias("_carried"),
+        F.col("z.offset").alias("_offset"))
+    chunks = _chunks_of_piece(F.col("_piece"), F.col("_small"), F.col("_nonblank"), F.col("_words"),
+                              F.col("_starts"), F.col("_carried"))
+    out = stage2.select(*kc, "_offset", F.posexplode(chunks).alias("_k", "chunk"))
+    return out.select(*kc, (F.col("_offset") + F.col("_k")).cast("bigint").alias("chunk_idx"), "chunk")
 
 
 def split_documents_arrays(docs: DataFrame, text: str = "text", keys: list | None = None,
