@@ -38,6 +38,7 @@ DEFAULT_SIZE = 2000
 CONTINUATION = " (продолжение)\n"
 
 _BLOCK = 256                   # entries of a finished block of an accumulator
+_MANY_PIECES = 4096            # pieces of a document that are one row each
 _LONG_PIECE = 500_000          # words of a piece whose starts are gathered in blocks
 
 
@@ -164,6 +165,13 @@ def _chunks_of_piece(piece, small, nonblank, words, starts, carried) -> Column:
             .otherwise(F.when(starts.isNull(), empty).otherwise(labelled))
 
 
+def _all_chunks(pp: Column, stem: str) -> Column:
+    """The chunks of all pieces of a document, in order."""
+    zipped = F.arrays_zip(pp.alias("p"), carry_forward(F.transform(pp, lambda x: article_header(x["piece"], stem))).alias("carried"))
+    return F.flatten(F.transform(zipped, lambda z: _chunks_of_piece(
+        z["p"]["piece"], z["p"]["small"], z["p"]["nonblank"], z["p"]["words"], z["p"]["starts"], z["carried"])))
+
+
 def split_documents(docs: DataFrame, text: str = "text", keys: list | None = None,
                     size: int = DEFAULT_SIZE, marker: str = DEFAULT_MARKER, stem: str = DEFAULT_STEM,
                     restore_first: bool = False) -> DataFrame:
@@ -183,13 +191,18 @@ def split_documents(docs: DataFrame, text: str = "text", keys: list | None = Non
         pp.alias("p"),
         carry_forward(F.transform(pp, lambda x: article_header(x["piece"], stem))).alias("carried"),
         exclusive_prefix_sum(counts).alias("offset"))
-    stage2 = stage1.select(*kc, F.explode(per_piece).alias("z")).select(
+    # A document of very many pieces is one row with all its chunks instead of a row per piece.
+    none = F.lit(None).cast("array<string>")
+    rows = F.transform(per_piece, lambda z: F.struct(z["p"].alias("p"), z["carried"].alias("carried"), z["offset"].alias("offset"), none.alias("whole")))
+    whole = F.array(F.struct(F.get(pp, 0).alias("p"), F.lit("").alias("carried"), F.lit(0).cast("bigint").alias("offset"), _all_chunks(pp, stem).alias("whole")))
+    stage2 = stage1.select(*kc, F.explode(F.when(F.size(pp) > _MANY_PIECES, whole).otherwise(rows)).alias("z")).select(
+        F.col("z.whole").alias("_whole"),
         *kc, F.col("z.p.piece").alias("_piece"), F.col("z.p.small").alias("_small"),
         F.col("z.p.nonblank").alias("_nonblank"), F.col("z.p.words").alias("_words"),
         F.col("z.p.starts").alias("_starts"), F.col("z.carried").alias("_carried"),
         F.col("z.offset").alias("_offset"))
-    chunks = _chunks_of_piece(F.col("_piece"), F.col("_small"), F.col("_nonblank"), F.col("_words"),
-                              F.col("_starts"), F.col("_carried"))
+    chunks = F.when(F.col("_whole").isNotNull(), F.col("_whole")).otherwise(
+        _chunks_of_piece(F.col("_piece"), F.col("_small"), F.col("_nonblank"), F.col("_words"), F.col("_starts"), F.col("_carried")))
     out = stage2.select(*kc, "_offset", F.posexplode(chunks).alias("_k", "chunk"))
     return out.select(*kc, (F.col("_offset") + F.col("_k")).cast("bigint").alias("chunk_idx"), "chunk")
 
@@ -204,10 +217,7 @@ def split_documents_arrays(docs: DataFrame, text: str = "text", keys: list | Non
     kc = [F.col(k) for k in keys]
     stage1 = _piece_table(docs, text, kc, size, marker, stem, restore_first)
     pp = F.col("_pp")
-    zipped = F.arrays_zip(pp.alias("p"),
-                          carry_forward(F.transform(pp, lambda x: article_header(x["piece"], stem))).alias("carried"))
-    chunks = F.flatten(F.transform(zipped, lambda z: _chunks_of_piece(
-        z["p"]["piece"], z["p"]["small"], z["p"]["nonblank"], z["p"]["words"], z["p"]["starts"], z["carried"])))
+    chunks = _all_chunks(pp, stem)
     return stage1.select(*kc, F.coalesce(chunks, F.array().cast("array<string>")).alias("chunks"))
 
 
