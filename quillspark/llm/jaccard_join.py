@@ -5,9 +5,10 @@ folded first. A run splits the sets on sampled shared tokens: token ``t`` of
 ``x`` is chosen if its seeded hash falls below ``RATE / (threshold * |x|)``,
 so two sets at the threshold choose about ``RATE`` tokens in common whatever
 their sizes. Runs are repeated until a pair at the threshold is missed with
-at most ``1 - RECALL``. A bucket that is still large is split again, each
-member going on with the least of its chosen tokens under a hash seeded by
-the path so far, which keeps one path per member and level. Small buckets are
+at most ``1 - RECALL``, the further levels counted in. A bucket that is still
+large is split again, each member going on with ``SPREAD`` of its sampled
+tokens, each the least under a hash seeded by the path so far: a pair goes on
+together with one token about as often as it is similar. Small buckets are
 compared pair by pair on short sketches, which only yields a spanning forest
 of plausible pairs. The connected parts of the forest are then verified
 exactly, all pairs of a part in one task, or in blocks of it where it is
@@ -29,16 +30,22 @@ from .common import documents, id_key, stored
 
 RATE = 3.0
 SKETCH_RATE = 24.0             # further tokens in common, for the sketch alone
-LEVELS = 4
+SPREAD = (2, 2, 1)             # tokens that a member of a large bucket goes on with, a level
+SPLIT_MARGIN = 0.1             # the samples of a pair may agree this much less than its sets
 RECALL = 0.99999
 SMALL = 64                     # members of a bucket that is compared
 MAX_BROADCAST = 500_000        # ids (40 bytes each) that are broadcast; beyond it they are shuffled
 BLOCK = 1024                   # sets of a block of a part that is verified
 
 
-def runs_needed(recall: float = RECALL, rate: float = RATE) -> int:
-    """A run misses a pair at the threshold on one level with e^-rate."""
-    return max(1, math.ceil(math.log(1 - recall) / -rate))
+def runs_needed(recall: float = RECALL, rate: float = RATE, threshold: float = 0.8) -> int:
+    """Runs until a pair at the threshold is missed with ``1 - recall`` at most,
+    if every bucket it meets is large on every level. Tokens in common are
+    Poisson with ``rate`` a run; one is of no use if all that follows parts the pair."""
+    agree, lost = max(threshold - SPLIT_MARGIN, 0.05), 0.0
+    for m in reversed(SPREAD):
+        lost = (1 - agree + agree * lost) ** m
+    return max(1, math.ceil(-math.log(1 - recall) / (rate * (1 - lost))))
 
 
 def shingles(u: ts.Units, h: np.ndarray, i: int, grams: np.ndarray, n: int) -> np.ndarray:
@@ -146,15 +153,17 @@ def chosen_path_edges(sets: DataFrame, threshold: float, runs: int) -> DataFrame
     sketch``): a spanning forest of every bucket of every run."""
     level = sets.select("sid", F.explode("chosen").alias("path"))        # hashes of different runs differ
     small, stars = None, None
-    for k in range(LEVELS):
+    for k in range(len(SPREAD) + 1):
         counts = level.groupBy("path").agg(F.count("*").alias("members")).where("members > 1")
         level = stored(level.join(counts, "path"), f"paths-{k}")
         now = level.where(F.col("members") <= SMALL).select("path", "sid")
         small = now if small is None else small.unionByName(now)
         large = level.where(F.col("members") > SMALL).select("path", "sid")
-        if k + 1 < LEVELS:
-            token = F.expr("array_min(transform(chosen, t -> xxhash64(path, t)))")
-            level = large.join(sets.select("sid", "chosen"), "sid").select("sid", F.xxhash64("path", token).alias("path"))
+        if k < len(SPREAD):
+            # The sketch holds two bytes of every sampled token.
+            least = "array_min(transform(sequence(1, length(sketch), 2), i -> xxhash64(path, seed, substring(sketch, i, 2))))"
+            level = (large.join(sets.select("sid", "sketch"), "sid").withColumn("seed", F.explode(F.expr(f"sequence(1, {SPREAD[k]})")))
+                     .select("sid", F.xxhash64("path", "seed", F.expr(least)).alias("path")))
         else:
             # Still large after every level: one part, for the exact step to take apart.
             least = large.groupBy("path").agg(F.min("sid").alias("least"))
@@ -282,7 +291,7 @@ def _verify(threshold: float):
 
 def _classes(src: DataFrame, n: int, threshold: float, recall: float) -> DataFrame:
     """``doc_id, th, class_id, n_links, n_copies`` of ``src`` (``doc_id, text, th``)."""
-    runs = runs_needed(recall)
+    runs = runs_needed(recall, threshold=threshold)
     sketch = stored(src.mapInArrow(_sketch(n, threshold, runs), "doc_id bigint, th bigint, sid binary, n bigint, chosen array<bigint>, sketch binary"), "sketches")
     filled = sketch.where("n > 0")
     # Equal sets have equal n, chosen and sketch.

@@ -103,6 +103,36 @@ def test_similar_classes(make_docs, monkeypatch, small, block):
     same(got, brute.classes(rows))
 
 
+def template_pairs(groups, members, share, n=300):
+    """Sets of one template a group (``share`` of each set), in pairs at a
+    similarity of just over 0.8 that are linked to nothing else by design;
+    words that run on are put so that a set is as many 5-word runs."""
+    rows, pairs = [], []
+    for g in range(groups):
+        own = n - int(share * n)
+        template = [f"g{g}t{i}" for i in range(n - own)]
+        for p in range(members // 2):
+            i = len(rows)
+            common = [f"g{g}p{p}c{j}" for j in range(int(own - n * 0.106))]
+            for side in "ab":
+                rest = [f"g{g}p{p}{side}{j}" for j in range(own - len(common))]
+                rows.append((len(rows), " ".join(template + common + rest)))
+            pairs.append((i, i + 1))
+    return rows, pairs
+
+
+def missed(make_docs, rows, pairs):
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.similar_classes(make_docs(rows, 8)).collect()}
+    return sum(got[a] != (a, 1) or got[b] != (a, 1) for a, b in pairs)
+
+
+def test_similar_classes_recall_in_large_buckets(make_docs):
+    rows, pairs = template_pairs(4, 1000, 0.7)
+    a, b = (set(zip(*(rows[i][1].split()[k:] for k in range(5)))) for i in pairs[0])
+    assert 0.8 <= len(a & b) / len(a | b) < 0.82
+    assert missed(make_docs, rows, pairs) == 0
+
+
 def test_one_per_class(make_docs):
     rows = near_rows()
     docs = make_docs(rows)
