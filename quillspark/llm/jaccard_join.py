@@ -34,7 +34,7 @@ SPREAD = (2, 2, 1)             # tokens that a member of a large bucket goes on
 SPLIT_MARGIN = 0.1             # the samples of a pair may agree this much less than its sets
 RECALL = 0.99999
 SMALL = 64                     # members of a bucket that is compared
-MAX_BROADCAST = 500_000        # ids (40 bytes each) that are broadcast; beyond it they are shuffled
+MAX_BROADCAST = 500_000        # ids (48 bytes each) that are broadcast; beyond it they are shuffled
 BLOCK = 1024                   # sets of a block of a part that is verified
 
 
@@ -249,6 +249,12 @@ def _sets(n: int):
     return scan
 
 
+def _wanted(src: DataFrame, want: DataFrame) -> DataFrame:
+    """``text, sid, part``: the text that holds each wanted set, by id and text
+    hash, so rows without an id or of one id don't meet each other's sets."""
+    return src.withColumn("key", id_key()).join(want, ["key", "th"]).select("text", "sid", "part")
+
+
 def _verify(threshold: float):
     """Links of one block pair: their counts and a spanning forest of them."""
     def run(table: pa.Table) -> pa.Table:
@@ -295,16 +301,16 @@ def _classes(src: DataFrame, n: int, threshold: float, recall: float) -> DataFra
     sketch = stored(src.mapInArrow(_sketch(n, threshold, runs), "doc_id bigint, th bigint, sid binary, n bigint, chosen array<bigint>, sketch binary"), "sketches")
     filled = sketch.where("n > 0")
     # Equal sets have equal n, chosen and sketch.
-    fold = stored(filled.groupBy("sid").agg(F.min("doc_id").alias("least"), F.min(id_key()).alias("key"), F.count("*").alias("copies"),
+    fold = stored(filled.groupBy("sid").agg(F.min("doc_id").alias("least"), F.min(F.struct(id_key().alias("key"), "th")).alias("place"), F.count("*").alias("copies"),
                                             *[F.any_value(c).alias(c) for c in ("n", "chosen", "sketch")]), "folded")
     parts = components(chosen_path_edges(fold.select("sid", "n", "chosen", "sketch"), threshold, runs))
     sized = stored(parts.join(parts.groupBy("part").agg(F.count("*").alias("size")), "part")
                    .select(F.col("node").alias("sid"), "part", F.expr(f"(size + {BLOCK} - 1) div {BLOCK}").alias("blocks"))
-                   .join(fold.select("sid", "key"), "sid"), "parts")
-    want = sized.select("key", "sid", "part")
+                   .join(fold.select("sid", "place.key", "place.th"), "sid"), "parts")
+    want = sized.select("key", "th", "sid", "part")
     if sized.count() <= MAX_BROADCAST:
         want = F.broadcast(want)
-    found = src.withColumn("key", id_key()).join(want, "key").select("text", "sid", "part").mapInArrow(_sets(n), "sid binary, part binary, tokens array<bigint>")
+    found = _wanted(src, want).mapInArrow(_sets(n), "sid binary, part binary, tokens array<bigint>")
     placed = (found.join(sized.select("sid", "blocks"), "sid")
               .withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")))
               .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))

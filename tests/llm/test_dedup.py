@@ -133,6 +133,21 @@ def test_similar_classes_recall_in_large_buckets(make_docs):
     assert missed(make_docs, rows, pairs) == 0
 
 
+def test_rows_without_an_id_fetch_their_own_texts_only(make_docs, monkeypatch):
+    fetched, wanted = [], jaccard_join._wanted
+
+    def counted(src, want):
+        out = wanted(src, want)
+        fetched.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "_wanted", counted)
+    rows = [(i, t) for i in (None, 5) for g in range(10) for t in (prose(g + 20 * (i or 0)), prose(g + 20 * (i or 0)) + " more")]
+    got = [(r.doc_id, r.class_id, r.n_links, r.n_copies) for r in jaccard_join.similar_classes(make_docs(rows)).collect()]
+    same(got, brute.classes(rows))
+    assert fetched == [len(rows)]
+
+
 def test_one_per_class(make_docs):
     rows = near_rows()
     docs = make_docs(rows)
