@@ -28,9 +28,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later repeated runs of lines; a document that lost
-    its last word goes. ``n_chars`` follows the text."""
-    out = dedup_lines(docs, before="__qs_input")
+    """Documents without later repeated runs of three lines, or of one or two
+    of more than 50 words; a document that lost its last word goes.
+    ``n_chars`` follows the text."""
+    out = dedup_lines(docs, before="__qs_input", min_words=50)
     emptied = F.col("__qs_input").rlike(_WORD) & ~F.col("text").rlike(_WORD)
     out = out.where(~F.coalesce(emptied, F.lit(False)))
     own = [F.length("text").cast(docs.schema["n_chars"].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]

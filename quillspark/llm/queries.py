@@ -33,6 +33,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), length=1024, end_id=0)
 
 
+def _line_report(docs: DataFrame, min_words: int | None = None) -> DataFrame:
+    out = line_dedup.dedup_lines(docs, before="input", min_words=min_words)
+    n = line_dedup.n_lines(F.col("input"))
+    return out.select("doc_id", n.alias("n_lines"), (n - line_dedup.n_lines(F.col("text"))).alias("n_removed"),
+                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @_query("op1_line_dedup", """
 WITH raw AS (
   SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
@@ -60,10 +67,36 @@ FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """)
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = line_dedup.dedup_lines(docs, before="input")
-    n = line_dedup.n_lines(F.col("input"))
-    return out.select("doc_id", n.alias("n_lines"), (n - line_dedup.n_lines(F.col("text"))).alias("n_removed"),
-                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return _line_report(docs)
+
+
+@_query("op1_passage_dedup", """
+WITH lines AS (
+  SELECT doc_id, line, i, regexp_matches(line, '[^\\x20\\x09-\\x0D]') AS has, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL)
+), worded AS (
+  SELECT doc_id, i, line, n, row_number() OVER d AS pos, lead(line, 1) OVER d AS l2, lead(line, 2) OVER d AS l3, lead(n, 1) OVER d AS n2
+  FROM lines WHERE has WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+), windows AS (
+  SELECT doc_id, pos, [line, l2, l3] AS w FROM worded WHERE l3 IS NOT NULL
+  UNION ALL SELECT doc_id, pos, [line, l2] FROM worded WHERE l2 IS NOT NULL AND n + n2 > 50
+  UNION ALL SELECT doc_id, pos, [line] FROM worded WHERE n > 50
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(pos, pos + len(w) - 1)) AS pos
+  FROM (SELECT *, row_number() OVER (PARTITION BY w ORDER BY doc_id, pos) AS occurrence FROM windows) WHERE occurrence > 1
+), marked AS (
+  SELECT w.doc_id, w.i, g.pos IS NOT NULL AS deleted FROM worded w LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.pos = w.pos
+), kept AS (
+  SELECT l.doc_id, count(*) FILTER (WHERE l.has) AS n_lines, count(*) FILTER (WHERE m.deleted) AS n_removed,
+         coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE NOT coalesce(m.deleted, false)), '') AS kept
+  FROM lines l LEFT JOIN marked m ON m.doc_id = l.doc_id AND m.i = l.i GROUP BY l.doc_id
+)
+SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+""")
+def op1_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As the pipeline's stage: also repeated passages of one or two lines of more than 50 words."""
+    return _line_report(table(spark, sf_dir, "documents").select("doc_id", "text"), 50)
 
 
 @_query("op2_token_counts")

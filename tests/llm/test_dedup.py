@@ -46,6 +46,15 @@ def test_line_dedup_keeps_the_first_run_and_rejects_a_clash(make_docs):
         line_dedup.dedup_lines(make_docs(rows), before="fp")
 
 
+def test_line_dedup_of_short_passages(make_docs):
+    half, short, long = prose(71, 26), prose(72, 50), prose(73, 51)
+    rows = [(1, f"a\n{long}\nb"), (2, f"{long}"), (3, f"c\n \n{long} "), (4, f"d\n{half}\n{half}x\ne"), (5, f"{half}\n\n{half}x\nf"),
+            (6, f"g\n{short}"), (7, f"h\n{short}"), (8, f"{long}\ni"), (None, f"{half}\n{half}x")]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(make_docs(rows), min_words=50).collect()}
+    assert got == dict(rows) | {2: "", 5: "\nf", 8: "i", None: ""}
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(make_docs(rows)).collect()} == dict(rows)
+
+
 def word_rows():
     r = random.Random(5)
     base = [f"t{i}" for i in range(40)]
