@@ -50,3 +50,11 @@ def test_no_cross_joins_in_any_registered_query(spark):
         plan = _plan(q.fn(spark, SF))
         bad += [(name, w) for w in ("CartesianProduct", "BroadcastNestedLoopJoin") if w in plan]
     assert bad == []
+
+
+def test_streamed_chunks_are_whole(spark):
+    """Every document's last chunk is in the result, and documents of one chunk are."""
+    chunks = load_all()["t6_split_law"].fn(spark, SF)
+    whole = load_all()["t7_streaming_ingest_whole"].fn(spark, SF)
+    count = lambda df: {r.chunk_idx: r["count"] for r in df.groupBy("chunk_idx").count().collect()}
+    assert count(whole) == count(chunks)
