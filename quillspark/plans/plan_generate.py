@@ -178,6 +178,12 @@ def s5(spark, sf):
     return G.export_document_texts(chunks, chunks.agg(F.max("file_name")).first()[0])
 
 
+@query("s5_export_all_chunk_texts", f"WITH {ALL_SQL} SELECT file_name, chunk_idx, text FROM ch")
+def s5_all(spark, sf):
+    _, chunks = store(spark, sf)
+    return G.export_document_texts(chunks)
+
+
 @query("s6_export_rows", f"""WITH {ALL_SQL}, {_STATE}, {_answers_sql("(SELECT ch.* FROM ch JOIN st USING (file_name) WHERE b)", PROMPT_B, "second")},
 r AS (SELECT regexp_extract(c.file_name, '^(.*)\\.[^.]*$', 1) || CASE WHEN st.b THEN '_variant_0' ELSE '' END || '.txt' AS output_name, c.chunk_idx, x.answer
       FROM answers x JOIN ch c USING (chunk_id) JOIN st ON st.file_name = c.file_name

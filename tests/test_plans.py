@@ -58,3 +58,14 @@ def test_streamed_chunks_are_whole(spark):
     whole = load_all()["t7_streaming_ingest_whole"].fn(spark, SF)
     count = lambda df: {r.chunk_idx: r["count"] for r in df.groupBy("chunk_idx").count().collect()}
     assert count(whole) == count(chunks)
+
+
+def test_export_of_all_documents(spark):
+    from quillspark.operators import generate as G
+    rows = [("a", 0, "x"), ("a", 1, "y"), ("b", 0, "z"), ("c", 0, "w")]
+    chunks = spark.createDataFrame(rows, "file_name string, chunk_idx long, text string")
+    names = spark.createDataFrame([("a",), ("c",), ("c",)], "file_name string")
+    got = lambda *name: sorted(tuple(r) for r in G.export_document_texts(chunks, *name).collect())
+    assert got() == rows
+    assert got(names) == [r for r in rows if r[0] != "b"]
+    assert got("a") == [(0, "x"), (1, "y")]
