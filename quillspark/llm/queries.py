@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, and their DuckDB SQL.
+"""Registered queries of the operators, and their DuckDB SQL.
 
 ``QUERIES`` maps a name to ``(function, sql)``; ``sql`` is ``None`` where SQL
 cannot express the operator (those are tested against brute force instead).
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import table
-from . import decontaminate, jaccard_join, line_dedup, packing, quality_classifier, quality_rules, secret_scan, substring_dedup, token_counts, warc
+from . import collocations, decontaminate, imatch, jaccard_join, line_dedup, packing, prefix_trie, quality_classifier, quality_rules, secret_scan, substring_dedup, token_counts, warc
 
 QUERIES: dict = {}
 
@@ -232,3 +232,72 @@ FROM g
 """)
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
+@_query("op11_phrase_collocations", """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p
+), total AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang
+), f AS MATERIALIZED (
+  SELECT lang, x, CAST(count(*) AS BIGINT) AS f FROM (
+    SELECT lang, unnest([[y] for y in w]) AS x FROM w
+    UNION ALL SELECT lang, unnest([w[i:i + 1] for i in generate_series(1, len(w) - 1)]) FROM w
+    UNION ALL SELECT lang, unnest([w[i:i + 2] for i in generate_series(1, len(w) - 2)]) FROM w) GROUP BY lang, x
+), c AS (
+  SELECT lang, x, f AS a FROM f WHERE len(x) > 1 AND f >= 10
+), parts AS MATERIALIZED (
+  SELECT lang, x, a, k, x[1:k] AS head, x[k + 1:] AS rest FROM (SELECT lang, x, a, unnest(generate_series(1, len(x) - 1)) AS k FROM c)
+), cut AS (
+  SELECT c.lang, c.x, c.a, c.k, l.f AS l, r.f AS r, (1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f) AS score
+  FROM parts c JOIN f l ON l.lang = c.lang AND l.x = c.head JOIN f r ON r.lang = c.lang AND r.x = c.rest
+), best AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, x ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, s, max(a) AS a FROM (SELECT lang, unnest([x[1:2], x[2:3]]) AS s, a FROM c WHERE len(x) = 3) GROUP BY lang, s
+), kept AS (
+  SELECT b.lang, array_to_string(b.x, ' ') AS phrase, b.a, b.l, b.r, CAST(b.score AS BIGINT) AS score
+  FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.s = b.x WHERE o.a IS NULL OR 100 * o.a < 50 * b.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000
+""")
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=10, top=2000, share=50)
+
+
+@_query("op12_imatch_fingerprints")
+def op12_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.edited_report(table(spark, sf_dir, "documents"))
+
+
+# CRC-32 by its bits (reversed polynomial 0xEDB88320), as DuckDB has no function for it.
+_CRC32 = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)), "
+          "lambda s, b: list_reduce([xor(s, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295)")
+
+
+@_query("op13_prefix_trie", f"""
+WITH own AS (
+  SELECT conv_id AS c, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST, role, text) AS turns FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+  SELECT c, turns, {_CRC32} % 9 AS h FROM own
+), new AS (
+  SELECT h.c, list_concat(CASE WHEN o.c IS NULL THEN [] ELSE o.turns[1:h.h] END, h.turns[h.h + 1:]) AS turns FROM h LEFT JOIN own o ON o.c = h.c - h.c % 5
+), path AS (
+  SELECT c, d, turns[1:d] AS node, len(turns) = d AS ends FROM (SELECT c, turns, unnest(generate_series(0, len(turns))) AS d FROM new)
+), node AS (
+  SELECT node, d, min(c) AS c, count(*) AS n, count(*) FILTER (WHERE ends) AS n_ends, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends) AS ends FROM path GROUP BY node, d
+), shares AS (
+  SELECT c, d, CASE WHEN n = n_ends THEN 1 ELSE 0 END AS leaf, CASE WHEN d = 0 THEN 0 ELSE (n - 1) * strlen(node[d].t) END AS saved FROM node
+), below AS (
+  SELECT p.node, sum(s.leaf) AS n_leaves, sum(s.saved) AS saved, count(*) FILTER (WHERE s.d = p.d + 1) AS n_children FROM path p JOIN shares s ON s.c = p.c AND s.d >= p.d GROUP BY p.node
+)
+SELECT v.c AS conv_id, CAST(v.d AS BIGINT) AS depth, u.c AS parent_conv_id, CAST(v.n AS BIGINT) AS n_convs, CAST(b.n_children AS BIGINT) AS n_children,
+       CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM node v JOIN below b ON b.node = v.node LEFT JOIN node u ON u.d = v.d - 1 AND u.node = v.node[1:v.d - 1]
+""")
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.opening_report(table(spark, sf_dir, "conversations"), every=5, most=9)
