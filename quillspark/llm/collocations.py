@@ -36,7 +36,7 @@ from .common import prepare, stored
 
 DEPTH = 3
 HOT = 2000
-FOLD = 2_000_000               # pointers that are folded at once
+FOLD = 800_000                 # pointers that are folded at once
 BITS = (1 << 16, 1 << 27)      # of the bitmap: fewest, most; sixteen a frequent word between
 TASK_ROWS = 4_000_000          # pointers of a task, at most about, beyond the session's number of partitions
 
@@ -55,7 +55,7 @@ def _words(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[tuple[ts.Un
     """The words of slices of documents, their hashes (never 0) and the languages of the documents."""
     for batch in batches:
         texts = pc.ascii_lower(ts.plain(batch.column(0)))
-        for lo, hi in ts.slices(texts, 8 << 20):
+        for lo, hi in ts.slices(texts):
             u = ts.cut(texts.slice(lo, hi - lo), _GAP)
             lang = batch.column(1).slice(lo, hi - lo)
             salt = np.array([xxhash.xxh3_64_intdigest(x, seed) for x in lang.to_pylist()], np.uint64)
@@ -125,6 +125,7 @@ def _pointers(seed: int, known, bits: int, hot, buckets: int):
     arrays ``w1, w2, w3`` (0: the piece ends or an infrequent word follows) and ``n``."""
     def fold(chunks: list) -> Iterator[pa.RecordBatch]:
         w1, w2, w3 = (np.concatenate(c) for c in zip(*chunks))
+        chunks.clear()
         order = np.lexsort((w3, w2, w1))
         w1, w2, w3 = w1[order], w2[order], w3[order]
         new = np.ones(len(w1), bool)
@@ -156,7 +157,7 @@ def _pointers(seed: int, known, bits: int, hot, buckets: int):
             size += len(at)
             if size >= FOLD:
                 yield from fold(chunks)
-                chunks, size = [], 0
+                size = 0
         if size:
             yield from fold(chunks)
     return run
@@ -224,6 +225,7 @@ def _phrases(least: int, hot):
                 flat = batch.column(c).flatten().to_numpy()
                 got[i].append(flat.view(np.uint64) if i < 3 else flat.astype(np.int64))
         w1, w2, w3, n = (np.concatenate(g) for g in got)
+        got.clear()
         both = _is_hot(w1, hot.value) & _is_hot(w2, hot.value)
         for mine, limit in ((~both, least), (both, 1)):
             keys, weight = [w1[mine], w2[mine], w3[mine]], n[mine]
