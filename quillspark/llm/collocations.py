@@ -38,7 +38,7 @@ DEPTH = 3
 HOT = 2000
 FOLD = 800_000                 # pointers that are folded at once
 BITS = (1 << 16, 1 << 27)      # of the bitmap: fewest, most; sixteen a frequent word between
-TASK_ROWS = 4_000_000          # pointers of a task, at most about, beyond the session's number of partitions
+TASK_ROWS = 1_000_000          # pointers of a task, at most about, beyond the session's number of partitions
 
 _BREAK = np.zeros(256, dtype=bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -229,6 +229,8 @@ def _phrases(least: int, hot):
         both = _is_hot(w1, hot.value) & _is_hot(w2, hot.value)
         for mine, limit in ((~both, least), (both, 1)):
             keys, weight = [w1[mine], w2[mine], w3[mine]], n[mine]
+            if not len(weight):
+                continue
             for depth, rows, sizes in multikey_quicksort(keys, weight, limit):
                 keep = sizes >= (least if depth == 3 else limit)
                 if depth > 1 and keep.any():
@@ -251,7 +253,7 @@ def phrase_counts(docs: DataFrame, least: int = 10) -> tuple[DataFrame, DataFram
     top = words.where(F.col("n") * HOT > total).select("h").toArrow().column("h").to_numpy().astype(np.int64)
     hot = spark.sparkContext.broadcast(np.sort(top.view(np.uint64)))
     width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_ROWS))
-    found = _source(docs).mapInArrow(_pointers(seed, known, bits, hot, 8 * width), "bucket int, w1 array<bigint>, w2 array<bigint>, w3 array<bigint>, n array<int>")
+    found = _source(docs).mapInArrow(_pointers(seed, known, bits, hot, 4 * width), "bucket int, w1 array<bigint>, w2 array<bigint>, w3 array<bigint>, n array<int>")
     found = found.repartition(width, "bucket").mapInArrow(_phrases(least, hot), "w1 bigint, w2 bigint, w3 bigint, n bigint")
     found = found.groupBy("w1", "w2", "w3").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     return stored(found, "phrases"), words
