@@ -12,6 +12,7 @@ from ..operators import assemble as A
 from ..operators import qa as QA
 from . import plan_chunking as PC
 from . import plan_qa as PQ
+from ..functions.indexing import stored_table
 from ..session import checkpoint_dir
 from .registry import query, table
 
@@ -58,13 +59,15 @@ def d3_hash(spark, sf):
 @query("d3_split_exact", WITH_DS + """SELECT id, CASE WHEN row_number() OVER (ORDER BY md5('42|' || id), id) - 1
   < ceil(0.05 * (SELECT count(*) FROM ds)) THEN 'test' ELSE 'train' END AS split FROM ds""", bench=True)
 def d3_exact(spark, sf):
-    return A.split_exact(dataset(spark, sf), ["id"], 0.05, 42).select("id", "split")
+    ids = stored_table(dataset(spark, sf).select("id"), "dataset-ids")       # the splitter runs once
+    return A.split_exact(ids, ["id"], 0.05, 42).select("id", "split")
 
 
 @query("d4_seeded_shuffle", WITH_DS + """SELECT CAST(row_number() OVER (ORDER BY md5('3407|' || id), id) - 1 AS BIGINT)
   AS rank, id FROM ds""")
 def d4(spark, sf):
-    return A.seeded_order(dataset(spark, sf), ["id"], 3407).select(F.col("rank").cast("bigint"), "id")
+    ids = dataset(spark, sf).select("id")
+    return A.seeded_order(ids, ["id"], 3407).select(F.col("rank").cast("bigint"), "id")
 
 
 _SPEC = "('<unk>', '<s>', '</s>')"
@@ -84,7 +87,8 @@ enc AS (SELECT ds.id, CAST(coalesce(len(g.ids), 0) AS BIGINT) AS length,
 
 
 def vocabulary_and_texts(spark, sf):
-    ds = dataset(spark, sf)
+    """Both from a stored dataset, so the splitter runs once."""
+    ds = stored_table(dataset(spark, sf).select("id", "text"), "dataset")
     return A.build_vocab(ds, "text", V), ds
 
 
@@ -104,7 +108,8 @@ SELECT id, batch, padded_len, trim(array_to_string(ids, ' ') || repeat(' 2', CAS
   trim(array_to_string(ids, ' ') || repeat(' -100', CAST(padded_len - len(ids) AS INTEGER))) AS labels FROM w""")
 def d6(spark, sf):
     vocab, ds = vocabulary_and_texts(spark, sf)
-    ranked = A.seeded_order(A.encode_ids(ds, "text", ["id"], vocab, MAXLEN).select("id", "ids"), ["id"], 3407)
+    encoded = stored_table(A.encode_ids(ds, "text", ["id"], vocab, MAXLEN).select("id", "ids"), "encoded")
+    ranked = stored_table(A.seeded_order(encoded, ["id"], 3407), "ranked")
     out = A.batch_padding(ranked, "rank", "ids", BATCH)
     return out.select("id", "batch", "padded_len", F.array_join("input_ids", " ").alias("input_ids"), F.array_join("labels", " ").alias("labels"))
 

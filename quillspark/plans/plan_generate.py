@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.indexing import reliable_checkpoint
 from ..functions.pytext import PY_WS
+from ..functions.indexing import stored_table
 from ..operators import generate as G
 from ..sources import sinks as S
 from . import plan_chunking as PC
@@ -195,7 +196,7 @@ def s6(spark, sf):
     docs, chunks, vid, new = first_run(spark, sf, None)
     toxic = table(spark, sf, "labels").where("toxic = 1").select(F.concat(F.lit("doc_"), "doc_id", F.lit(".txt")).alias("file_name"))
     other = G.generate_answers(chunks.join(toxic, "file_name", "left_semi"), variant(spark, PROMPT_B), responder)
-    answers = G.record_answers(G.record_answers(empty_answers(spark), new), other)
+    answers = stored_table(G.record_answers(G.record_answers(empty_answers(spark), new), other), "answers")     # read by each consumer below
     empty = spark.createDataFrame([], VARIANTS)
     variants = G.upsert_variants(empty, G.resolve_variant(empty, docs, PROVIDER, MODEL, PROMPT_A))
     variants = G.upsert_variants(variants, G.resolve_variant(variants, docs.join(toxic, "file_name", "left_semi"), PROVIDER, MODEL, PROMPT_B))
