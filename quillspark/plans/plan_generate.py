@@ -11,9 +11,8 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ..functions.indexing import reliable_checkpoint
+from ..functions.indexing import reliable_checkpoint, stored_table
 from ..functions.pytext import PY_WS
-from ..functions.indexing import stored_table
 from ..operators import generate as G
 from ..sources import sinks as S
 from . import plan_chunking as PC
