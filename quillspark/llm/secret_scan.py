@@ -100,12 +100,14 @@ def scan_new(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> i
     src = documents(spark, docs)
     names = F.array(*[F.lit(r.name) for r in rules])
     known = read_ledger(spark, ledger).groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("done"))
-    blobs = src.select(blob_id(F.col("text")).alias("blob"), id_key().alias("key")).groupBy("blob").agg(F.min("key").alias("key"))
+    # A holder is told by id and text hash, so rows without an id, or of one id, don't meet each other's blobs.
+    place = [id_key().alias("key"), F.xxhash64("text").alias("th")]
+    blobs = src.select(blob_id(F.col("text")).alias("blob"), *place).groupBy("blob").agg(F.min(F.struct("key", "th")).alias("place"))
     todo = (blobs.join(known, "blob", "left")
-            .select("blob", "key", F.array_except(names, F.coalesce("done", F.array().cast("array<string>"))).alias("rules"))
+            .select("blob", "place.key", "place.th", F.array_except(names, F.coalesce("done", F.array().cast("array<string>"))).alias("rules"))
             .where("size(rules) > 0"))
     # One holder of each blob brings its text; the others' texts stay where they are.
-    texts = (src.select(id_key().alias("key"), "text").join(todo, "key").where(blob_id(F.col("text")) == F.col("blob"))
+    texts = (src.select(*place, "text").dropDuplicates(["key", "th"]).join(todo, ["key", "th"]).where(blob_id(F.col("text")) == F.col("blob"))
              .select("blob", "text", "rules"))
     fresh = stored(texts.mapInArrow(_scan(rules), f"blob string, rules array<string>, spans {_SPANS}").dropDuplicates(["blob"]), "scanned")
     fresh.write.mode("append").parquet(ledger)

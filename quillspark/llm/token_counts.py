@@ -9,6 +9,8 @@ the last one) stitches documents that cross block boundaries.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -20,6 +22,7 @@ from .common import documents, fresh_folder, publishing, reader, stored
 from .encode import SLICE_BYTES, encoder
 
 BLOCK_BYTES = 8 << 20
+MAX_TASKS = 100_000            # that blocks are dealt to
 SCAN_GROUP = 1024              # blocks scanned together in the first level of the prefix scan
 
 
@@ -32,7 +35,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str,
     code = np.dtype(dtype).newbyteorder("<")
 
     def write(batches):
-        uri = f"{folder}/tokens-{TaskContext.get().partitionId():06d}.bin"
+        # A name of this attempt's own: only a committed attempt's rows name its file.
+        uri = f"{folder}/tokens-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.bin"
         first = next(batches, None)
         if first is None:
             return
@@ -87,9 +91,10 @@ def scan_token_files(files: DataFrame, end_id: int, dtype: str = "uint16", block
                      pa.array([int(seps[-1]) if len(seps) else -1], pa.int64()), pa.array([seps], pa.list_(pa.int64()))],
                     names=["file", "total", "block", "n", "last", "seps"])
 
-    blocks = (files.select("file").where("file is not null").distinct().mapInArrow(sizes, "file string, total bigint").where("total > 0")
-              .select("file", "total", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(total - 1) div {step}"))).alias("block")))
-    summary = stored(blocks.repartition("file", "block")
+    blocks = stored(files.select("file").where("file is not null").distinct().mapInArrow(sizes, "file string, total bigint").where("total > 0")
+              .select("file", "total", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(total - 1) div {step}"))).alias("block")), "blocks")
+    # The blocks are tiny rows: a number of partitions that is given isn't coalesced, so a task reads about one block.
+    summary = stored(blocks.repartition(max(min(blocks.count(), MAX_TASKS), 1), "file", "block")
                      .mapInArrow(scan, "file string, total bigint, block bigint, n bigint, last bigint, seps array<bigint>")
                      .withColumn("grp", F.expr(f"block div {SCAN_GROUP}")), "token-blocks")
     # Exclusive prefix scan in two levels: over groups of blocks, then inside each group.

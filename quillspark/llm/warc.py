@@ -29,6 +29,7 @@ from .common import fresh_folder, prepare, publishing, reader, stored
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.tsv"
 LEAST_PAYLOAD = 1000           # smaller payloads are never revisits
+RANGE = 4 << 20                # bytes of a package that are read by one task at least
 DATE = "1970-01-01T00:00:00Z"
 _READ = 4 << 20
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
@@ -154,7 +155,7 @@ def index_rows(file) -> Iterator[list[tuple[int, int]]]:
 
 def _write(folder: str):
     def run(batches):
-        uri, places, n = f"{folder}/pages-{TaskContext.get().partitionId():06d}.zip", [], 0
+        uri, places, n = f"{folder}/pages-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.zip", [], 0
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
@@ -233,7 +234,9 @@ def read_packages(packages: DataFrame) -> DataFrame:
 
     places = packages.select("package").where("package is not null").distinct().mapInArrow(locate, "package string, at bigint, length bigint")
     # Runs of neighbouring records stay together, so a task reads on in a package.
-    spread = places.repartition("package", F.expr(f"at div {16 << 20}")).sortWithinPartitions("package", "at")
+    # A number of partitions that is given isn't coalesced, small as the rows are that say what to read.
+    width = int(packages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = places.repartition(width, "package", F.expr(f"at div {RANGE}")).sortWithinPartitions("package", "at")
     return spread.mapInArrow(read, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
 
 

@@ -256,3 +256,13 @@ def test_registered():
 
     names = set(entry.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+
+
+def test_rows_without_an_id_meet_their_own_blobs_only(make_docs, spark):
+    rows = [(None, f"secret=abcdefgh{i:08d} x") for i in range(200)] * 2 + [(7, f"token: {i:016x}") for i in range(50)]
+    ledger = fresh_folder(spark, "ledger")
+    assert secret_scan.scan_new(make_docs(rows), ledger) == 250
+    got = secret_scan.secret_scan(make_docs(rows), ledger).collect()
+    assert len(got) == 450 and all(r.n_assign == 1 for r in got)
+    plan = spark.read.parquet(ledger)
+    assert plan.count() == 250

@@ -113,3 +113,26 @@ def test_first_fit_decreasing():
 def test_empty_tables(make_docs):
     assert packing.pack(make_docs([]), PATH).count() == 0
     assert token_counts.token_counts(make_docs([]), PATH, 50256).count() == 0
+
+
+def test_blocks_are_read_by_many_tasks(spark, monkeypatch):
+    folder = fresh_folder(spark, "wide")
+    with publishing(f"{folder}/a") as out:
+        out.write(np.arange(1, 3001, dtype="<u2").tobytes())
+    made = {}
+    keep = token_counts.stored
+    monkeypatch.setattr(token_counts, "stored", lambda df, name: made.setdefault(name, keep(df, name)))
+    df = spark.createDataFrame([(f"{folder}/a",)], "file string")
+    assert token_counts.scan_token_files(df, 0, block_bytes=30).count() == 1
+    assert made["blocks"].count() == 200 and len(made["token-blocks"].inputFiles()) > 50
+
+
+def test_a_repeated_attempt_names_its_own_file(make_docs, spark):
+    folder = fresh_folder(spark, "twice")
+    rows = [(i, f"text {i}") for i in range(20)]
+    first = token_counts.write_token_files(make_docs(rows, 1), PATH, 50256, folder)
+    again = token_counts.write_token_files(make_docs(rows[::-1], 1), PATH, 50256, folder)      # the same task in another row order
+    for manifest in (first, again):
+        got = manifest.join(token_counts.scan_token_files(manifest, 50256), ["file", "ordinal"]).collect()
+        assert len(got) == 20 and len({r.file for r in got}) == 1
+    assert first.first()["file"] != again.first()["file"]
