@@ -107,7 +107,7 @@ def scan_new(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> i
             .select("blob", "place.key", "place.th", F.array_except(names, F.coalesce("done", F.array().cast("array<string>"))).alias("rules"))
             .where("size(rules) > 0"))
     # One holder of each blob brings its text; the others' texts stay where they are.
-    texts = (src.select(*place, "text").dropDuplicates(["key", "th"]).join(todo, ["key", "th"]).where(blob_id(F.col("text")) == F.col("blob"))
+    texts = (src.select(*place, "text").join(todo, ["key", "th"]).where(blob_id(F.col("text")) == F.col("blob"))
              .select("blob", "text", "rules"))
     fresh = stored(texts.mapInArrow(_scan(rules), f"blob string, rules array<string>, spans {_SPANS}").dropDuplicates(["blob"]), "scanned")
     fresh.write.mode("append").parquet(ledger)
