@@ -25,6 +25,7 @@ from ..operators.chatlog import parse_messages
 from ..session import ship_package
 
 LIST = "messages"
+NESTED = 1000                  # levels of a file, as many as JSON readers take by default
 _TOKEN = re.compile(r'"((?:[^"\\]|\\.)*)("|\Z)|[\[\]{},:]', re.S)
 _TO_QUOTE = re.compile(r'(?:[^"\\]|\\.)*("|\Z)', re.S)
 
@@ -57,7 +58,8 @@ class Scan:
                 continue
             before = self.depth
             if c in "[{":
-                self.opened[before] = c == "[" and self.key == LIST
+                if -NESTED < before <= 1:        # only depth 1 of the file is asked for, at most so far up
+                    self.opened[before] = c == "[" and self.key == LIST
                 self.depth += 1
             elif c in "]}":
                 self.depth -= 1
