@@ -151,5 +151,5 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, before: str | None
     joined = keyed.join(repeated, ["__qs_dkey", "__qs_th"], "left")
     hit = F.col("__qs_starts").isNotNull()
     joined = joined.withColumn("__qs_new", _without()(F.when(hit, text), F.col("__qs_starts")))
-    out = [F.when(hit, F.col("__qs_new")).otherwise(text).alias("text") if c == "text" else F.col(c) for c in docs.columns]
+    out = [F.when(hit, F.col("__qs_new")).otherwise(text).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     return joined.select(*out, *([text.alias(before)] if before else []))

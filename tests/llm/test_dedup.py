@@ -178,3 +178,11 @@ def test_empty_tables(make_docs):
     assert substring_dedup.substring_dedup(empty).count() == 0
     assert jaccard_join.similar_classes(empty).count() == 0
     assert jaccard_join.one_per_class(empty).count() == 0
+
+
+def test_line_dedup_keeps_a_dotted_column(spark):
+    from quillspark.llm import line_dedup
+    same = "one line here\ntwo lines here\nthree lines here"
+    docs = spark.createDataFrame([(1, same, "x"), (2, same, "y")], "doc_id long, text string, `a.b` string")
+    got = {r["doc_id"]: (r["text"], r["a.b"]) for r in line_dedup.dedup_lines(docs).collect()}
+    assert got[1] == (same, "x") and got[2][1] == "y" and got[2][0] != same
