@@ -5,10 +5,13 @@ folded first. A run splits the sets on sampled shared tokens: token ``t`` of
 ``x`` is chosen if its seeded hash falls below ``RATE / (threshold * |x|)``,
 so two sets at the threshold choose about ``RATE`` tokens in common whatever
 their sizes. Runs are repeated until a pair at the threshold is missed with
-at most ``1 - RECALL``, the further levels counted in. A bucket that is still
-large is split again, each member going on with ``SPREAD`` of its sampled
-tokens, each the least under a hash seeded by the path so far: a pair goes on
-together with one token about as often as it is similar. Small buckets are
+at most ``1 - RECALL``, the further levels counted in. A large bucket of which
+at least half is near one of its members, by sketch, would hold together on
+every further level: it becomes one plausible part as a whole, and no pair in
+it is missed. Any other large bucket is split again, each member going on with
+``SPREAD`` of its sampled tokens, each the least under a hash seeded by the
+path so far: a pair goes on together with one token about as often as it is
+similar. Small buckets are
 compared pair by pair on short sketches, which only yields a spanning forest
 of plausible pairs. The connected parts of the forest are then verified
 exactly, all pairs of a part in one task, or in blocks of it where it is
@@ -34,6 +37,7 @@ SPREAD = (2, 2, 1)             # tokens that a member of a large bucket goes on
 SPLIT_MARGIN = 0.1             # the samples of a pair may agree this much less than its sets
 RECALL = 0.99999
 SMALL = 64                     # members of a bucket that is compared
+NEAR = 0.6                     # likeness of sketches at which a member is near the one it is held against
 MAX_BROADCAST = 500_000        # ids (48 bytes each) that are broadcast; beyond it they are shuffled
 BLOCK = 1024                   # sets of a block of a part that is verified
 
@@ -148,30 +152,73 @@ def _forest(threshold: float, runs: int):
     return run
 
 
+def _stars(members: DataFrame, centres: DataFrame) -> DataFrame:
+    """Edges ``a, b`` from each bucket's ``centre`` to its other members."""
+    return (members.join(centres, "path").where("sid != centre")
+            .select(F.least("centre", "sid").alias("a"), F.greatest("centre", "sid").alias("b")))
+
+
+def _near_copies(held: DataFrame) -> DataFrame:
+    """``path, centre`` of the buckets of ``held`` (``path, sid, sketch``) of
+    which at least half is near the member of the least or the greatest id:
+    two tries, as one may be an outlier. One row a bucket is joined back."""
+    ends = held.groupBy("path").agg(F.min(F.struct("sid", "sketch")).alias("low"), F.max(F.struct("sid", "sketch")).alias("high"))
+    pairs = held.join(ends, "path").select("path", "sketch", F.col("low.sketch").alias("low"), F.col("high.sketch").alias("high"))
+    shares = pairs.mapInArrow(_near_ends, "path bigint, low int, high int").groupBy("path").agg(F.avg("low").alias("low"), F.avg("high").alias("high"))
+    centres = shares.where("greatest(low, high) >= 0.5").select("path", (F.col("low") >= 0.5).alias("first"))
+    return (ends.select("path", F.col("low.sid").alias("least"), F.col("high.sid").alias("greatest")).join(centres, "path")
+            .select("path", F.when(F.col("first"), F.col("least")).otherwise(F.col("greatest")).alias("centre")))
+
+
+def _near_ends(batches):
+    """``path`` and whether (0 or 1) the sketch is near those in ``low`` and ``high``."""
+    ends: dict = {}
+
+    def near(own: set, end: bytes) -> int:
+        if end not in ends:
+            if len(ends) > 10_000:                                 # only saves repeats
+                ends.clear()
+            ends[end] = set(np.frombuffer(end, "<u2").tolist())
+        both = len(own & ends[end])
+        return int(both >= NEAR * (len(own) + len(ends[end]) - both))
+
+    for batch in batches:
+        low, high = [], []
+        for sketch, a, b in zip(*(batch.column(c).to_pylist() for c in ("sketch", "low", "high"))):
+            own = set(np.frombuffer(sketch, "<u2").tolist())
+            low.append(near(own, a))
+            high.append(near(own, b))
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(low, pa.int32()), pa.array(high, pa.int32())], names=["path", "low", "high"])
+
+
 def chosen_path_edges(sets: DataFrame, threshold: float, runs: int) -> DataFrame:
     """Distinct plausible pairs ``a, b`` of ``sets`` (``sid, n, chosen,
     sketch``): a spanning forest of every bucket of every run."""
     level = sets.select("sid", F.explode("chosen").alias("path"))        # hashes of different runs differ
-    small, stars = None, None
+    small, stars = None, []
     for k in range(len(SPREAD) + 1):
         counts = level.groupBy("path").agg(F.count("*").alias("members")).where("members > 1")
         level = stored(level.join(counts, "path"), f"paths-{k}")
         now = level.where(F.col("members") <= SMALL).select("path", "sid")
         small = now if small is None else small.unionByName(now)
         large = level.where(F.col("members") > SMALL).select("path", "sid")
-        if k < len(SPREAD):
-            # The sketch holds two bytes of every sampled token.
-            least = "array_min(transform(sequence(1, length(sketch), 2), i -> xxhash64(path, seed, substring(sketch, i, 2))))"
-            level = (large.join(sets.select("sid", "sketch"), "sid").withColumn("seed", F.explode(F.expr(f"sequence(1, {SPREAD[k]})")))
-                     .select("sid", F.xxhash64("path", "seed", F.expr(least)).alias("path")))
-        else:
+        if k == len(SPREAD):
             # Still large after every level: one part, for the exact step to take apart.
-            least = large.groupBy("path").agg(F.min("sid").alias("least"))
-            stars = large.join(least, "path").where("sid != least").select(F.col("least").alias("a"), F.col("sid").alias("b"))
+            stars.append(_stars(large, large.groupBy("path").agg(F.min("sid").alias("centre"))))
+            break
+        held = stored(large.join(sets.select("sid", "sketch"), "sid"), f"large-{k}")
+        whole = stored(_near_copies(held), f"whole-{k}")
+        stars.append(_stars(held, whole))
+        # The sketch holds two bytes of every sampled token.
+        least = "array_min(transform(sequence(1, length(sketch), 2), i -> xxhash64(path, seed, substring(sketch, i, 2))))"
+        level = (held.join(whole, "path", "left_anti").withColumn("seed", F.explode(F.expr(f"sequence(1, {SPREAD[k]})")))
+                 .select("sid", F.xxhash64("path", "seed", F.expr(least)).alias("path")))
     rows = (small.join(sets.select("sid", "n", "sketch"), "sid")
             .select("path", "sid", "n", "sketch").repartition("path").sortWithinPartitions("path"))
     edges = rows.mapInArrow(_forest(threshold, runs), "a binary, b binary")
-    return stored(edges.unionByName(stars).distinct(), "edges")
+    for star in stars:
+        edges = edges.unionByName(star)
+    return stored(edges.distinct(), "edges")
 
 
 def components(edges: DataFrame) -> DataFrame:
