@@ -21,6 +21,7 @@ from .common import documents
 from .encode import SLICE_BYTES, encoder
 
 GROUP_DOCUMENTS = 4096
+COPIES = 64                    # equal pieces that go to one group together
 
 
 class CapacityTree:
@@ -114,7 +115,10 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 1024, end_id: int = 0,
 
     Pieces get their group from a hash of document, start and content, so a
     group holds about ``group_documents`` documents' pieces at any input size.
-    Ties in length are ordered by document, start and content.
+    Equal pieces (rows without an id or of one id) are counted first and dealt
+    to groups by ``COPIES``, so no group grows with the copies of a piece.
+    Ties in length are ordered by document, start and content. A very long
+    text is tokenised in one task and cut into as many pieces as it needs.
 
     Null text is an empty document (one piece, the end id alone); a null
     ``doc_id`` stays null. Repeated rows are packed as often as they occur. An
@@ -122,11 +126,15 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 1024, end_id: int = 0,
     """
     groups = max(1, -(-docs.count() // group_documents))
     pieces = token_pieces(docs, tokenizer, length, end_id, with_ids)
-    grouped = pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)).cast("long"))
+    counted = pieces.groupBy(*pieces.columns).agg(F.count("*").alias("copies"))
+    dealt = (counted.withColumn("deal", F.explode(F.expr(f"sequence(0L, (copies - 1) div {COPIES})")))
+             .withColumn("copies", F.least(F.lit(COPIES), F.col("copies") - F.col("deal") * COPIES)))
+    grouped = dealt.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "deal"), F.lit(groups)).cast("long"))
     out = [*pieces.columns, "sequence_id", "offset"]
 
     def place(table: pa.Table) -> pa.Table:
         table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
+        table = table.take(np.repeat(np.arange(table.num_rows), table["copies"].to_numpy()))
         bins, offsets = first_fit_decreasing(table["length"].to_pylist(), length)
         base = (table["grp"][0].as_py()) << 32
         table = table.append_column("sequence_id", pa.array(np.array(bins, np.int64) + base))

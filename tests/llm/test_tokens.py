@@ -97,6 +97,16 @@ def test_pack(make_docs, tokenizer):
     assert have == want
 
 
+def test_pack_deals_equal_pieces_to_many_groups(make_docs):
+    rows = [(None, None)] * 3000 + [(i, prose(i, 30)) for i in range(200)]
+    got = packing.pack(make_docs(rows), PATH, length=256, group_documents=100).collect()
+    assert len(got) == len(rows) and len({(r.sequence_id, r.offset) for r in got}) == len(rows)
+    groups = {}
+    for r in got:
+        groups[r.sequence_id >> 32] = groups.get(r.sequence_id >> 32, 0) + 1
+    assert max(groups.values()) < 600 and len(groups) > 15
+
+
 def test_first_fit_decreasing():
     r = random.Random(2)
     sizes = sorted((r.randint(1, 100) for _ in range(500)), reverse=True)
