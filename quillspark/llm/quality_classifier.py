@@ -97,7 +97,7 @@ class Model:
         return np.concatenate([x[:, [j]] > np.asarray(e, np.float32)[None, :] for j, e in enumerate(self.edges)], axis=1).astype(np.float32)
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        z = self.design(x).astype(np.float64) @ self.weights + self.bias
+        z = (self.design(x) * self.weights).sum(axis=1) + self.bias     # row by row: equal texts score alike in any batch
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
@@ -144,8 +144,8 @@ def _featurise(batches):
     for batch in batches:
         x = features(ts.plain(batch.column(1)))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32()))],
-            names=["doc_id", "positive", "x"])
+            [batch.column(0), batch.column(2), batch.column(3), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32()))],
+            names=["doc_id", "positive", "th", "x"])
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITIVES, max_unlabelled: int = MAX_UNLABELLED) -> Model:
@@ -153,7 +153,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITIVES
     ``max_unlabelled`` documents taken whatever their label, all outside the
     held-out rows, chosen by a hash of their id. The prior is the share of
     label 1 among all labelled rows outside the held-out ones (0.5 without
-    any). A document labelled differently by repeated rows isn't trusted."""
+    any). A document labelled differently by repeated rows isn't trusted. Of
+    texts that share an id the one with the least hash is fitted."""
     src = documents(docs.sparkSession, docs)
     marks = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
              .where("doc_id is not null and quality is not null").where(~held_out(F.col("doc_id")))
@@ -168,8 +169,9 @@ def learn(docs: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITIVES
     rest = picked(src.where("doc_id is not null").where(~held_out(F.col("doc_id"))), max_unlabelled).withColumn("positive", F.lit(False))
     # At most max_positives + max_unlabelled ids.
     wanted = F.broadcast(pos.unionByName(rest))
-    rows = (src.join(wanted, "doc_id").select("doc_id", "text", "positive")
-            .mapInArrow(_featurise, "doc_id bigint, positive boolean, x array<float>").dropDuplicates(["doc_id", "positive"]).toArrow())
+    rows = (src.join(wanted, "doc_id").select("doc_id", "text", "positive", F.xxhash64("text").alias("th"))
+            .mapInArrow(_featurise, "doc_id bigint, positive boolean, th bigint, x array<float>")
+            .groupBy("doc_id", "positive").agg(F.min(F.struct("th", "x")).alias("least")).select("doc_id", "positive", "least.x").toArrow())
     x = rows["x"].combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES)) if rows.num_rows else np.zeros((0, len(FEATURES)), np.float32)
     positive = rows["positive"].to_numpy(zero_copy_only=False).astype(bool) if rows.num_rows else np.zeros(0, bool)
     turn = np.argsort(rows["doc_id"].to_numpy(), kind="stable") if rows.num_rows else np.zeros(0, int)
@@ -191,7 +193,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted``, a row per row of ``docs``.
 
-    Scores read nothing but the text. Null and empty texts get the score of a
+    Scores read nothing but the text, a very long one as a whole. Null and empty texts get the score of a
     text without words. Repeated rows get equal scores; empty tables are
     allowed on both sides (without labels every score is about the prior);
     other columns are ignored.

@@ -2,13 +2,16 @@
 import gzip
 import hashlib
 import io
+import math
 import os
 import random
+import re
 import sys
 import zipfile
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -70,6 +73,68 @@ def test_held_out_labels_are_not_read(make_docs, spark):
     assert scores[0] == scores[1]
 
 
+def plain_features(text):
+    """The classifier's features, restated word by word."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    if not words:
+        return [0.0] * len(qc.FEATURES)
+    n, size = len(words), [len(w.encode()) for w in words]
+    mean = sum(size) / n
+    upper, lower = (len(re.findall(c, text)) for c in ("[A-Z]", "[a-z]"))
+    grams = [tuple(words[i:i + 3]) for i in range(n - 2)]
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return [math.log(1 + n), mean, math.sqrt(max(sum(x * x for x in size) / n - mean * mean, 0)), sum(x <= 3 for x in size) / n,
+            sum(x >= 12 for x in size) / n, sum(text.count(c) for c in "#*$%&<>") / n, upper / max(upper + lower, 1),
+            len(re.findall("[0-9]", text)) / len(text.encode()), text.count("!") / n, text.count("|") / n,
+            sum(text.count(c) for c in ".,;:?'\"()-") / n, len(set(words)) / n, max(words.count(w) for w in set(words)) / n,
+            len(set(grams)) / len(grams) if grams else 1.0, 1 - len(set(lines)) / len(lines), len(lines) / n]
+
+
+def test_features_equal_a_plain_restatement():
+    texts = [t for _, t in labelled()[0][:60]] + ["A b\nA b\n\nc 12 |x| é!", "one", "one two", "", None, "# $5 (a-b); 'c': \"d\"?\n#"]
+    got = qc.features(pa.array([t or "" for t in texts], pa.large_string()))
+    np.testing.assert_allclose(got, np.array([plain_features(t) for t in texts]), rtol=1e-4, atol=1e-3)
+
+
+def test_fit_follows_the_plain_risk():
+    """Adam on the non-negative risk, its gradient taken by differences."""
+    r = np.random.default_rng(5)
+    pos, rest = r.normal(1, 1, (12, len(qc.FEATURES))), r.normal(0, 1, (18, len(qc.FEATURES)))
+    pos[:, 2:] = rest[:, 2:] = 0                                  # two features that tell anything
+    model = qc.fit(pos, rest, 0.4, steps=25)
+    xp, xu = (model.design(x).astype(float) for x in (pos, rest))
+
+    def loss(z):
+        return np.log1p(np.exp(-z)).mean()
+
+    def parts(w):
+        zp, zu = xp @ w[:-1] + w[-1], xu @ w[:-1] + w[-1]
+        return 0.4 * loss(zp), loss(-zu) - 0.4 * loss(-zp), 1e-4 * (w[:-1] ** 2).sum()
+
+    def goal(w, bracket):
+        a, b, c = parts(w)
+        return a + b + c if bracket >= 0 else -b + c              # below zero: back along the bracket
+
+    w = np.append(np.zeros(xp.shape[1]), math.log(0.4 / 0.6))
+    m, v, eps = np.zeros(len(w)), np.zeros(len(w)), 1e-5
+    for t in range(1, 26):
+        bracket = parts(w)[1]
+        g = np.array([(goal(w + eps * e, bracket) - goal(w - eps * e, bracket)) / (2 * eps) for e in np.eye(len(w))])
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w = w - 0.05 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+    everything = np.concatenate([pos, rest])
+    plain = 1 / (1 + np.exp(-(model.design(everything) @ w[:-1] + w[-1])))
+    np.testing.assert_allclose(model.scores(everything), plain, atol=0.01)
+
+
+def test_repeated_ids_give_the_same_scores(make_docs, spark):
+    rows, labels = labelled()
+    table = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    twice = rows + [(i, prose(i)) for i, _ in rows[:80]]
+    scores = [sorted((r.doc_id, r.score) for r in qc.classify(make_docs(x, parts), table).collect()) for x, parts in ((twice, 3), (twice[::-1], 5))]
+    assert scores[0] == scores[1]
+
+
 def test_classifier_without_labels_or_documents(make_docs, spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     odd = spark.createDataFrame([(None, 1, 0), (1, None, 0), (999, 1, 1)], "doc_id bigint, quality int, toxic int")
