@@ -74,7 +74,8 @@ def contamination_report(docs: DataFrame, bench: DataFrame, n: int = N) -> DataF
     ``items_sha256`` digests their ids, sorted as strings and joined by
     commas. Null texts and items have no words; rows of one ``doc_id`` are
     judged by their own texts; a null id is an id of its own; repeated items
-    count once. Empty tables are allowed on both sides. Other columns are
+    count once. An item without an id hits words like any other, but is neither
+    counted nor named. Very long texts are looked up whole, window by window. Empty tables are allowed on both sides. Other columns are
     ignored.
     """
     src = documents(docs.sparkSession, docs).select("doc_id", id_key().alias("dkey"), F.xxhash64("text").alias("th"),

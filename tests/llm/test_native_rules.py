@@ -1,4 +1,5 @@
 """Quality rules and decontamination against brute force."""
+import hashlib
 import os
 import random
 import sys
@@ -82,6 +83,14 @@ def test_contamination(make_docs, spark, monkeypatch, bound):
     assert sorted(len(r.hit) for r in found.collect()) == sorted(w[2] for w in {(i, t): w for (i, t), w in zip(rows, want)}.values() if w[2])
 
 
+def test_an_item_without_an_id_hits_but_is_not_counted(make_docs, spark):
+    docs = make_docs([(1, prose(52, 14)), (2, prose(53, 14))])
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256, r.contaminated)
+           for r in decontaminate.contamination_report(docs, bench(spark, [(None, prose(52, 14))])).collect()}
+    nothing = hashlib.sha256(b"").hexdigest()
+    assert got == {1: (14, 0, nothing, True), 2: (0, 0, nothing, False)}
+
+
 def test_removal(make_docs, spark):
     rows, items = bench_rows()
     docs = make_docs(rows)
