@@ -142,6 +142,30 @@ def test_similar_classes_recall_in_large_buckets(make_docs):
     assert missed(make_docs, rows, pairs) == 0
 
 
+def test_large_buckets_of_near_copies_stay_whole(make_docs, monkeypatch):
+    r = random.Random(4)
+    base = prose(31, 300).split()
+
+    def edited():
+        words = list(base)
+        words[r.randrange(300)] = f"e{r.randint(0, 10**9)}"
+        return " ".join(words)
+
+    rows = [(i, edited()) for i in range(300)] + [(1000 + i, prose(500 + i, 60)) for i in range(40)]
+    seen, keep = {}, jaccard_join.stored
+
+    def counted(df, name):
+        out = keep(df, name)
+        seen[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", counted)
+    got = [(x.doc_id, x.class_id, x.n_links, x.n_copies) for x in jaccard_join.similar_classes(make_docs(rows)).collect()]
+    same(got, brute.classes(rows))
+    # Every large bucket is the group's: all become parts, no member goes on.
+    assert seen["large-0"] > 3000 and seen["whole-0"] > 10 and seen["paths-1"] == 0 and seen["edges"] < 3 * 300
+
+
 def test_rows_without_an_id_fetch_their_own_texts_only(make_docs, monkeypatch):
     fetched, wanted = [], jaccard_join._wanted
 
