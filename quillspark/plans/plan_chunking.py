@@ -37,13 +37,13 @@ def _strip(x):
     return f"regexp_replace({x}, '\\A{PY_WS}+|{PY_WS}+\\z', '', 'g')"
 
 
-def _pieces_sql(text_sql, marker, stem):
+def _pieces_sql(text_sql, marker, stem, source="documents"):
     m = marker.replace("'", "''")
     hdr = " ".join(
         f"WHEN starts_with(ws[{i}], '{stem}') AND regexp_full_match(ws[{i + 1}], '\\p{{Nd}}+') "
         f"AND length(ws[{i + 1}]) <= 3 THEN ws[{i}] || ' ' || ws[{i + 1}]" for i in (1, 2, 3))
     return f"""
-d AS (SELECT CAST(doc_id AS BIGINT) AS doc_id, {text_sql} AS t FROM documents),
+d AS (SELECT CAST(doc_id AS BIGINT) AS doc_id, {text_sql} AS t FROM {source}),
 sp AS (SELECT doc_id, string_split(t, '{m}') AS parts FROM d),
 dp AS (SELECT doc_id, CASE WHEN parts[1] = '' THEN parts[2:] ELSE parts END AS parts FROM sp),
 pc AS (SELECT doc_id, unnest(parts) AS raw, unnest(generate_series(0, len(parts) - 1)) AS pi FROM dp),
@@ -54,8 +54,8 @@ c AS (SELECT *, coalesce(last_value(nullif(header, '') IGNORE NULLS) OVER (PARTI
       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS carried FROM h)"""
 
 
-def _split_sql(text_sql, marker, stem, size=2000):
-    return "WITH " + _pieces_sql(text_sql, marker, stem) + f""",
+def _split_sql(text_sql, marker, stem, size=2000, source="documents"):
+    return "WITH " + _pieces_sql(text_sql, marker, stem, source) + f""",
 small AS (SELECT doc_id, pi, 1 AS k, piece AS chunk FROM c WHERE length(piece) <= {size} AND {_strip('piece')} <> ''),
 big AS (SELECT doc_id, pi, piece, carried, ws,
         list_reduce(list_transform(ws, lambda x: length(x)),

@@ -6,7 +6,9 @@ import os
 import pytest
 
 from quillspark.operators import chatlog as CL
+from quillspark.operators import chunking as C
 from quillspark.sources import large_export as LE
+from quillspark.sources import large_text as LT
 
 
 @pytest.fixture()
@@ -89,3 +91,42 @@ def test_scan_follows_strings_across_parts():
         s = LE.Scan()
         parts = [*s.marks(text[:cut])] + [(p + cut, c, d) for p, c, d in s.marks(text[cut:])]
         assert parts == marks and (s.depth, s.string, s.opened) == (0, False, whole.opened)
+
+
+def _law(n):
+    words = "право обязан суд x\u00a0y закон, статья \t срок"
+    out = ["Преамбула " + words * 3]
+    for i in range(n):
+        head = [f"ья {i}", f"ья {i}.", "ус", f"ья {i} {'дл' * 40}", "ья", " \n "][i % 6]
+        out.append(head + "\n" + (words + " ") * (i * 7 % 60))
+    return "\nСтат".join(out)
+
+
+TEXTS = {"plain": _law(80), "starts": "\nСтатья 5\n" + _law(30), "ends": _law(9) + "\nСтат", "twice": "\nСтат\nСтат" + _law(3) + "\nСтат\nСтат",
+         "only": "\nСтат", "only_twice": "\nСтат\nСтат", "empty": "", "blank": " \n\t ", "none": "слово " * 700, "one_word": "ж" * 5000,
+         "near": "а\n\nСтатья 1\nСта\nСтатья 2 " + "\n\n" * 900, "far": "Статья 7 " + "\nСтатус" * 200 + "\nСтат " + "слово " * 900}
+
+
+@pytest.mark.parametrize("restore", [False, True])
+@pytest.mark.parametrize("size", [16, 700, 10**6])
+def test_large_documents_equal_the_row_form(spark, tmp, small_ranges, size, restore):
+    for name, text in TEXTS.items():
+        _write(tmp, name + ".txt", text)
+    whole = spark.createDataFrame([(n + ".txt", t) for n, t in TEXTS.items()], "file string, text string")
+    want = C.split_documents(whole, keys=["file"], size=300, restore_first=restore)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    got = LT.split_large_documents(spark, tmp, size=300, restore_first=restore)
+    rows = {(r["file"].rsplit("/", 1)[1], r["chunk_idx"]): r["chunk"] for r in got.collect()}
+    assert rows == {(r["file"], r["chunk_idx"]): r["chunk"] for r in want.collect()}
+    assert len(rows) == got.count() > 400
+
+
+def test_large_documents_refuse_what_they_cannot_split(spark, tmp):
+    for marker in ("", "aa", "\n\n", "aba"):
+        with pytest.raises(ValueError, match="overlaps"):
+            LT.split_large_documents(spark, tmp, marker=marker)
+    _write(tmp, "a.txt", "\ufeffone The two The")
+    with pytest.raises(Exception, match="byte order mark"):
+        LT.split_large_documents(spark, tmp, marker="The", stem="The").collect()
+    got = LT.split_large_documents(spark, tmp, marker=" The", stem="The").orderBy("chunk_idx").collect()
+    assert [r["chunk"] for r in got] == ["one", "The two", "The"]
