@@ -7,7 +7,8 @@ by minimising the non-negative unbiased risk
     prior * R_p(+1) + max(0, R_u(-1) - prior * R_p(-1))
 
 with the logistic loss, where R_p and R_u are mean losses over positives and
-unlabelled texts and ``prior`` is the estimated share of positives. The
+unlabelled texts and ``prior`` is the share of positives among the unlabelled
+texts, estimated from the two samples alone: no negative label is read. The
 model is a few hundred numbers; documents are scored where they are read.
 """
 
@@ -101,9 +102,42 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def fit(positives: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 600, rate: float = 0.05, ridge: float = 2e-4) -> Model:
-    """Minimises the non-negative PU risk by full-batch Adam steps. With no
-    positives or no unlabelled texts every score is the prior."""
+def _half(ids: np.ndarray) -> np.ndarray:
+    """Which half a document falls into, in either sample."""
+    return (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(63)
+
+
+def class_prior(positives: np.ndarray, unlabelled: np.ndarray, in_half: np.ndarray, out_half: np.ndarray, delta: float = 0.1, steps: int = 300) -> float:
+    """The share of positives among the unlabelled texts, by the best bin: one
+    half of each sample (``in_half`` and ``out_half`` are 0 or 1 by row) fits a
+    model that tells positives from unlabelled texts, and the other half is
+    ranked by it. Above any score the share of the
+    unlabelled texts over that of the positives is at least the prior, and it
+    comes down to it where no negative scores as high; the least such ratio,
+    counting an error bound that holds with ``1 - delta``, is taken. The mean
+    over both halves; 0.5 where a half would have no row."""
+    found = []
+    for turn in (0, 1):
+        p, q = positives[in_half == turn], positives[in_half != turn]
+        u, v = unlabelled[out_half == turn], unlabelled[out_half != turn]
+        if not len(p) or not len(q) or not len(u) or not len(v):
+            return 0.5
+        model = fit(p, u, 0.5, steps=steps, contrast=True)
+        sq, sv = np.sort(model.scores(q)), np.sort(model.scores(v))
+        above_q = 1 - np.searchsorted(sq, sq) / len(sq)             # share of the positives at or above each of their scores
+        above_v = 1 - np.searchsorted(sv, sq) / len(sv)
+        error = np.sqrt(np.log(4 / delta) / 2 / len(sv)) + np.sqrt(np.log(4 / delta) / 2 / len(sq))
+        best = np.argmin((above_v + error) / above_q)
+        found.append(above_v[best] / above_q[best])
+    return float(min(np.mean(found), 1.0))
+
+
+def fit(positives: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 600, rate: float = 0.05, ridge: float = 2e-4,
+        contrast: bool = False) -> Model:
+    """Minimises the non-negative PU risk by full-batch Adam steps; with
+    ``contrast`` the plain risk R_p(+1) + R_u(-1) of telling positives from
+    unlabelled texts. With no positives or no unlabelled texts every score is
+    the prior."""
     prior = float(min(max(prior, 0.01), 0.99))
     base = float(np.log(prior / (1 - prior)))
     everything = np.concatenate([positives, unlabelled])
@@ -128,6 +162,8 @@ def fit(positives: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int
         up, un = sigmoid(zu) / len(zu), -prior * sigmoid(zp) / len(zp)
         # Below zero the bracket is overfitted: step back along it.
         gp, gu = (dp + un, up) if negative >= 0 else (-un, -up)
+        if contrast:
+            gp, gu = -sigmoid(-zp) / len(zp), up
         g = np.concatenate([gp.astype(np.float32) @ xp + gu.astype(np.float32) @ xu + ridge * w, [gp.sum() + gu.sum()]])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
@@ -151,15 +187,14 @@ def _featurise(batches):
 def learn(docs: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITIVES, max_unlabelled: int = MAX_UNLABELLED) -> Model:
     """Fits on at most ``max_positives`` documents labelled 1 and
     ``max_unlabelled`` documents taken whatever their label, all outside the
-    held-out rows, chosen by a hash of their id. The prior is the share of
-    label 1 among all labelled rows outside the held-out ones (0.5 without
-    any). A document labelled differently by repeated rows isn't trusted. Of
-    texts that share an id the one with the least hash is fitted."""
+    held-out rows, chosen by a hash of their id. The prior is estimated from
+    these two samples (:func:`class_prior`); rows labelled 0 only withdraw the
+    trust in a document that repeated rows label differently. Of texts that
+    share an id the one with the least hash is fitted."""
     src = documents(docs.sparkSession, docs)
     marks = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
              .where("doc_id is not null and quality is not null").where(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.min("quality").alias("quality")))
-    share = marks.agg(F.avg("quality")).first()[0]
     order = F.xxhash64(F.col("doc_id"), F.lit("fit"))
 
     def picked(ids: DataFrame, n: int) -> DataFrame:
@@ -174,9 +209,10 @@ def learn(docs: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITIVES
             .groupBy("doc_id", "positive").agg(F.min(F.struct("th", "x")).alias("least")).select("doc_id", "positive", "least.x").toArrow())
     x = rows["x"].combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES)) if rows.num_rows else np.zeros((0, len(FEATURES)), np.float32)
     positive = rows["positive"].to_numpy(zero_copy_only=False).astype(bool) if rows.num_rows else np.zeros(0, bool)
-    turn = np.argsort(rows["doc_id"].to_numpy(), kind="stable") if rows.num_rows else np.zeros(0, int)
-    x, positive = x[turn], positive[turn]
-    return fit(x[positive], x[~positive], 0.5 if share is None else share)
+    ids = rows["doc_id"].to_numpy() if rows.num_rows else np.zeros(0, np.int64)
+    turn = np.argsort(ids, kind="stable")
+    x, positive, half = x[turn], positive[turn], _half(ids[turn])
+    return fit(x[positive], x[~positive], class_prior(x[positive], x[~positive], half[positive], half[~positive]))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -143,6 +143,36 @@ def test_classifier_without_labels_or_documents(make_docs, spark):
     assert qc.classify(make_docs(ODD), odd).count() == len(ODD)
 
 
+@pytest.mark.parametrize("share", [0.2, 0.5, 0.85])
+def test_class_prior_is_found_without_negative_labels(share):
+    r = np.random.default_rng(int(100 * share))
+
+    def rows(n, good):
+        x = r.normal(0, 1, (n, len(qc.FEATURES)))
+        x[:, :3] += np.where(r.random((n, 1)) < good, 1.5, -1.5)
+        return x.astype(np.float32)
+
+    def prior(pos, unl):
+        return qc.class_prior(pos, unl, *(qc._half(np.arange(len(x))) for x in (pos, unl)))
+
+    assert abs(prior(rows(3000, 1), rows(9000, share)) - share) < 0.04
+    assert prior(rows(1, 1), rows(9, 1)) == prior(rows(0, 1), rows(9, 1)) == prior(rows(9, 1), rows(0, 1)) == 0.5
+
+
+def test_class_prior_where_the_positives_are_among_the_unlabelled():
+    rows, labels = labelled()
+    x, y = qc.features(pa.array([t for _, t in rows], pa.large_string())), np.array([q for _, q, _ in labels]) == 1
+    half = qc._half(np.array([i for i, _ in rows]))
+    assert abs(qc.class_prior(x[y], x, half[y], half) - y.mean()) < 0.02
+
+
+def test_rows_labelled_zero_change_nothing(make_docs, spark):
+    rows, labels = labelled()
+    schema = "doc_id bigint, quality int, toxic int"
+    a, b = (qc.learn(make_docs(rows), spark.createDataFrame(x, schema)) for x in (labels, [x for x in labels if x[1] == 1]))
+    assert a.prior == b.prior and a.bias == b.bias and (a.weights == b.weights).all()
+
+
 def test_risk_is_not_driven_below_zero():
     rng = np.random.default_rng(0)
     pos = rng.normal(1, 1, (50, len(qc.FEATURES))).astype(np.float32)
