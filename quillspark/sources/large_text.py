@@ -72,9 +72,10 @@ def split_large_documents(spark: SparkSession, path: str, size: int = C.DEFAULT_
     """
     width = _check(marker, stem, size)
     pieces = stored_table(_pieces(spark, path, size, marker, stem, restore_first), "large-text")
-    ranges = pieces.groupBy("file", "start").agg(
+    # A written table of the ranges' size: the texts are shuffled for the join only if it is too large to broadcast.
+    ranges = stored_table(pieces.groupBy("file", "start").agg(
         F.sum(F.size("chunks")).alias("n"), F.max_by("carried", "at").alias("carried"), F.count("*").alias("rows"),
-        F.sum("bytes").alias("bytes"), F.max("total").alias("total"), F.max("dropped").alias("dropped"))
+        F.sum("bytes").alias("bytes"), F.max("total").alias("total"), F.max("dropped").alias("dropped")), "large-text-ranges")
     earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     known = ranges.select("file", "start", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("chunks_before"),
                           F.coalesce(F.last("carried", ignorenulls=True).over(earlier), F.lit("")).alias("carried_before"))
