@@ -34,6 +34,11 @@ def read_published(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     empty or missing prefix is an error, as the reference reports it."""
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
+    files = fs.listFiles(jvm_path, True) if fs.exists(jvm_path) else None
+    hidden = ("_", ".")                          # marks of a finished write and the like
+    while files is not None and files.hasNext():
+        if not files.next().getPath().getName().startswith(hidden):
+            break
+    else:
         raise FileNotFoundError(f"{path} is empty or does not exist")
     return spark.read.format(fmt).option("recursiveFileLookup", "true").load(path)

@@ -270,6 +270,10 @@ def test_text_directory_publish_and_day_files(spark, tmp):
     assert R.read_published(spark, path).count() == 2
     with pytest.raises(FileNotFoundError):
         R.read_published(spark, os.path.join(tmp, "nothing"))
+    os.makedirs(os.path.join(tmp, "hollow", "below"))
+    open(os.path.join(tmp, "hollow", "_SUCCESS"), "w").close()
+    with pytest.raises(FileNotFoundError):
+        R.read_published(spark, os.path.join(tmp, "hollow"))
     lines = spark.createDataFrame([("2024-03-02", 0, "Date: 2024-03-02"), ("2024-03-02", 1, ""),
                                    ("2024-03-02", 2, "User: a Msg: b")], "day string, line_no bigint, line string") \
                  .withColumn("day", F.to_date("day"))
