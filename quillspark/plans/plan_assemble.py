@@ -176,7 +176,7 @@ UNION ALL SELECT 'test', CAST(ceil(0.05 * count(*)) AS BIGINT) FROM ds
 UNION ALL SELECT 'train', CAST(count(*) - ceil(0.05 * count(*)) AS BIGINT) FROM ds""")
 def d11(spark, sf):
     pairs = QA.qa_pairs(PQ.qa_blocks(spark, sf))
-    ds = dataset(spark, sf)
+    ds = stored_table(dataset(spark, sf).select("id"), "dataset-ids")        # the splitter runs once for all steps
     sp = A.split_exact(ds, ["id"], 0.05, 42)
     return A.step_counts({"qa_pairs": pairs, "dataset": ds, "test": sp.filter(F.col("split") == "test"),
                           "train": sp.filter(F.col("split") == "train")})
