@@ -11,7 +11,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ..functions.indexing import reliable_checkpoint, stored_table
+from ..functions.indexing import stored_table
 from ..functions.pytext import PY_WS
 from ..operators import generate as G
 from ..sources import sinks as S
@@ -38,12 +38,13 @@ def store(spark, sf):
         F.col("n_chars").cast("bigint").alias("size"))
     rows = PC.t6_split_law(spark, sf).withColumn("file_name", F.concat(F.lit("doc_"), "doc_id", F.lit(".txt")))
     # As in the ingest flow, the chunk table is stored once and then read.
-    return docs, reliable_checkpoint(G.chunks_table(rows))
+    return docs, stored_table(G.chunks_table(rows), "chunks")
 
 
 def empty_answers(spark):
+    # Spark sees that it is empty, so no answer is shuffled to be held against it.
     return spark.createDataFrame([], "chunk_id string, variant_id string, answer string, input_tokens bigint, "
-                                     "output_tokens bigint")
+                                     "output_tokens bigint").where(F.lit(False))
 
 
 def variant(spark, prompt=PROMPT_A):
@@ -116,7 +117,7 @@ def f3(spark, sf):
 @query("p3_record_resume", f"""WITH {ALL_SQL}
 SELECT variant_id, CAST(count(*) AS BIGINT) AS answers FROM answers GROUP BY variant_id""")
 def p3(spark, sf):
-    new = first_run(spark, sf, None)[3]
+    new = stored_table(first_run(spark, sf, None)[3], "run")     # read by both runs' records
     once = G.record_answers(empty_answers(spark), new)
     twice = G.record_answers(once, new)      # resumed run: nothing is added twice
     return twice.groupBy("variant_id").agg(F.count(F.lit(1)).cast("bigint").alias("answers"))
@@ -195,7 +196,9 @@ def s6(spark, sf):
     docs, chunks, vid, new = first_run(spark, sf, None)
     toxic = table(spark, sf, "labels").where("toxic = 1").select(F.concat(F.lit("doc_"), "doc_id", F.lit(".txt")).alias("file_name"))
     other = G.generate_answers(chunks.join(toxic, "file_name", "left_semi"), variant(spark, PROMPT_B), responder)
-    answers = stored_table(G.record_answers(G.record_answers(empty_answers(spark), new), other), "answers")     # read by each consumer below
+    # Both runs are written once: the records and each consumer below read them.
+    new, other = stored_table(new, "first-run"), stored_table(other, "second-run")
+    answers = G.record_answers(G.record_answers(empty_answers(spark), new), other)
     empty = spark.createDataFrame([], VARIANTS)
     variants = G.upsert_variants(empty, G.resolve_variant(empty, docs, PROVIDER, MODEL, PROMPT_A))
     variants = G.upsert_variants(variants, G.resolve_variant(variants, docs.join(toxic, "file_name", "left_semi"), PROVIDER, MODEL, PROMPT_B))
