@@ -24,6 +24,7 @@ UNK, BOS, EOS = "<unk>", "<s>", "</s>"
 SPECIALS = (UNK, BOS, EOS)
 MAX_LENGTH = 1024              # the later trainer's sequence limit
 MAX_VOCABULARY = 1_000_000     # tokens that are sent to every task
+LOOKUP_ROWS = 1024             # texts whose tokens are looked up at once
 # Word / punctuation tokens, special tokens first.
 TOKEN_RE = r"<s>|</s>|[\p{L}\p{N}_]+|[^\p{L}\p{N}_" + PY_WS[1:]
 
@@ -161,7 +162,7 @@ def encode_ids(df: DataFrame, text: str, keys: list, vocab: DataFrame, max_len:
 
         tokens, ids = names.value
         tokens, ids = pa.array(tokens, pa.string()), np.append(np.array(ids, np.int32), np.int32(unk))
-        for batch in batches:
+        for batch in (b.slice(s, LOOKUP_ROWS) for b in batches for s in range(0, b.num_rows, LOOKUP_ROWS)):
             column = batch.column(batch.num_columns - 1)
             at = pc.fill_null(pc.index_in(column.flatten().cast(pa.string()), value_set=tokens), len(tokens)).to_numpy()
             sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
