@@ -128,4 +128,5 @@ def token_counts(docs: DataFrame, tokenizer: str, end_id: int, dtype: str = "uin
     spark: SparkSession = docs.sparkSession
     manifest = write_token_files(docs, tokenizer, end_id, fresh_folder(spark, "tokens"), dtype)
     counts = scan_token_files(manifest, end_id, dtype)
-    return manifest.join(counts, ["file", "ordinal"]).select("doc_id", "n_tokens")
+    # The manifest's compressed files are small enough to be broadcast long after its rows are too many for a driver.
+    return manifest.hint("merge").join(counts.hint("merge"), ["file", "ordinal"]).select("doc_id", "n_tokens")

@@ -1,6 +1,7 @@
 """Token counts and packing against the tokenizer itself."""
 import os
 import random
+import re
 import sys
 import zlib
 
@@ -55,6 +56,14 @@ def test_token_counts(make_docs, spark, monkeypatch, block, group):
     assert all(r.complete for r in got)
 
 
+def test_rows_of_documents_are_never_broadcast(make_docs, spark):
+    """Neither side of the join of documents and counts, however small its files are, may go through the driver."""
+    out = token_counts.token_counts(make_docs(ROWS[:40]), PATH, 50256)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "[file#" in plan and re.findall(r"(\w+Join) \[file#\d+, ordinal#\d+L?\]", plan) == ["SortMergeJoin"]
+    assert sorted((str(r.doc_id), r.n_tokens) for r in out.collect()) == counts(ROWS[:40])
+
+
 def test_scan_of_damaged_and_empty_files(spark):
     folder = fresh_folder(spark, "t")
     files = {"a": [7, 8, 0, 0, 9], "b": [], "c": [0], "d": [1, 2, 3], "e": [5] * 20 + [0] + [6] * 20}
